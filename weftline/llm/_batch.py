@@ -27,7 +27,8 @@ for _c in range(128):
         FOLDED[_c] = ord(chr(_c).lower())
 
 
-def _powers(n: int, _kept: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
+def powers(n: int, _kept: dict = {}) -> tuple[np.ndarray, np.ndarray]:  # noqa: B006
+    """At least n powers of the hash base, and of its inverse, mod 2^64."""
     if _kept.get("n", 0) < n:
         n = max(n, CHUNK_BYTES + 1)
         with np.errstate(over="ignore"):
@@ -101,7 +102,7 @@ class Words:
             self.starts = np.sort(np.concatenate([self.starts, both]))
             self.ends = np.sort(np.concatenate([self.ends, both]))
         self.first = np.searchsorted(self.starts, offsets, "left")
-        p, i = _powers(len(b) + 1)
+        p, i = powers(len(b) + 1)
         with np.errstate(over="ignore"):
             s = np.zeros(len(b) + 1, U64)
             np.cumsum(v.astype(U64) * p[: len(b)], out=s[1:])

@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import host_rules, html_density, mixing, pii
+from . import fm_substring, host_rules, html_density, mixing, pii, suffix_family
 
 #: Production parameters.
 PII_KEY = b"weftline pseudonym key, rotate per release"
 MIX_WEIGHTS = {f"src{i}": float(1 + 2 * (i % 4)) for i in range(20)}
 MIX_EPOCHS = 2.0
 MIX_SEED = 17
+PASSAGE_WORDS = 50
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,10 @@ def op2_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_density.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op3_fm_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_substring.repeated_passages(table(spark, sf_dir, "documents"), PASSAGE_WORDS)
+
+
 def op4_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.host_rules(table(spark, sf_dir, "documents"))
 
@@ -35,11 +40,17 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_EPOCHS, seed=MIX_SEED)
 
 
+def op6_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_family.repeated_passages(table(spark, sf_dir, "documents"), PASSAGE_WORDS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html_density": op2_html_density,
+    "op3_fm_substring": op3_fm_substring,
     "op4_host_rules": op4_host_rules,
     "op5_mixing": op5_mixing,
+    "op6_suffix_family": op6_suffix_family,
 }
 
 ORACLES: dict[str, str] = {
