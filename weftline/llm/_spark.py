@@ -34,5 +34,12 @@ def semi_join(df: DataFrame, keys: DataFrame, on: list[str], most: int = 4_000_0
     return df.join(keys, on, "left_semi")
 
 
+def anti_join(df: DataFrame, keys: DataFrame, on: list[str], most: int = 4_000_000) -> DataFrame:
+    """Rows of df whose key is not in keys; keys are broadcast as in semi_join."""
+    if keys.count() <= most:
+        keys = F.broadcast(keys)
+    return df.join(keys, on, "left_anti")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fm_substring, host_rules, html_density, mixing, pii, suffix_family
+from . import fm_substring, host_rules, html_density, jaccard_join, mixing, pii, suffix_family
 
 #: Production parameters.
 PII_KEY = b"weftline pseudonym key, rotate per release"
@@ -14,6 +14,7 @@ MIX_WEIGHTS = {f"src{i}": float(1 + 2 * (i % 4)) for i in range(20)}
 MIX_EPOCHS = 2.0
 MIX_SEED = 17
 PASSAGE_WORDS = 50
+JACCARD_N, JACCARD_THRESHOLD = 4, 0.5
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,10 @@ def op6_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_family.repeated_passages(table(spark, sf_dir, "documents"), PASSAGE_WORDS)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), JACCARD_N, JACCARD_THRESHOLD)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html_density": op2_html_density,
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_host_rules": op4_host_rules,
     "op5_mixing": op5_mixing,
     "op6_suffix_family": op6_suffix_family,
+    "op7_jaccard_join": op7_jaccard_join,
 }
 
 ORACLES: dict[str, str] = {
