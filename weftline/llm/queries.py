@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fm_substring, host_rules, html_density, jaccard_join, mixing, pii, suffix_family
+from . import fm_substring, host_rules, html_density, jaccard_join, mixing, pii, sp_viterbi, suffix_family
 
 #: Production parameters.
 PII_KEY = b"weftline pseudonym key, rotate per release"
 MIX_WEIGHTS = {f"src{i}": float(1 + 2 * (i % 4)) for i in range(20)}
 MIX_EPOCHS = 2.0
 MIX_SEED = 17
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 PASSAGE_WORDS = 50
 JACCARD_N, JACCARD_THRESHOLD = 4, 0.5
 
@@ -49,6 +50,10 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), JACCARD_N, JACCARD_THRESHOLD)
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_viterbi.encode_documents(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html_density": op2_html_density,
@@ -57,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_suffix_family": op6_suffix_family,
     "op7_jaccard_join": op7_jaccard_join,
+    "op9_sentencepiece": op9_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {
