@@ -107,6 +107,13 @@ class Words:
             s = np.zeros(len(b) + 1, U64)
             np.cumsum(v.astype(U64) * p[: len(b)], out=s[1:])
             self.hashes = mix((s[self.ends] - s[self.starts]) * i[self.starts] + (self.ends - self.starts).astype(U64))
+        self._sums, self._inverse = s, i
+
+    def heads(self, n: int) -> np.ndarray:
+        """Hash of the first n bytes of each word."""
+        ends = np.minimum(self.ends, self.starts + n)
+        with np.errstate(over="ignore"):
+            return mix((self._sums[ends] - self._sums[self.starts]) * self._inverse[self.starts] + U64(n << 32))
 
     @property
     def doc(self) -> np.ndarray:
@@ -146,3 +153,11 @@ def take_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     skip = np.repeat(starts - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths)
     return skip + np.arange(total)
+
+
+def characters(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of UTF-8, and their byte positions."""
+    at = np.flatnonzero((b & 0xC0) != 0x80)
+    x = np.concatenate([b, np.zeros(3, np.uint8)]).astype(np.int64)
+    c, d, e, f = x[at], x[at + 1] & 63, x[at + 2] & 63, x[at + 3] & 63
+    return np.where(c < 0x80, c, np.where(c < 0xE0, (c & 31) << 6 | d, np.where(c < 0xF0, (c & 15) << 12 | d << 6 | e, (c & 7) << 18 | d << 12 | e << 6 | f))), at

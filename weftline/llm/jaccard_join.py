@@ -31,7 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._batch import FOLDED, Words, chunks, mix, ngrams, take_ranges
-from ._spark import anti_join, checkpointed, semi_join, shuffle_partitions
+from ._graph import by_document, components, verified
+from ._spark import anti_join, checkpointed, shuffle_partitions
 
 U64 = np.uint64
 SKETCH = 1 << 20
@@ -281,26 +282,6 @@ def _candidates(postings: DataFrame, threshold: float) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.first("need").alias("need")).where("n >= need").select("a", "b")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, component) of an undirected graph with edges (a, b): the least node of each connected component, by alternating large and small stars."""
-    e = checkpointed(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
-    while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        # large star: every greater neighbour is linked to the least one
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        # small star: every lesser neighbour, and the node itself, are linked to the least one
-        near = large.join(least, "u")
-        small = near.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionByName(near.select("u", F.col("m").alias("v"))).distinct()
-        new = checkpointed(small)
-        changed = new.join(e, ["u", "v"], "left_anti").limit(1).count() or e.join(new, ["u", "v"], "left_anti").limit(1).count()
-        e = new
-        if not changed:
-            break
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
-
-
 def _similarities(a: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Jaccard similarity of the sets a[i] and a[j], as bit vectors over the grams that two of them have."""
     sizes = np.array([len(x) for x in a])
@@ -323,48 +304,20 @@ def _similarities(a: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarr
     return both / (sizes[i] + sizes[j] - both)
 
 
-def _verified(docs: DataFrame, nodes: DataFrame, candidates: DataFrame, n: int, threshold: float, parts: int) -> DataFrame:
-    """(a, b, jaccard) of the candidates that reach the threshold. The sets of a component of candidates meet in one task."""
-    home = checkpointed(components(candidates))
-    bucket = F.pmod(F.xxhash64("component"), F.lit(parts)).cast("int").alias("part")
-    some = nodes.join(home, "node").groupBy("node", "component").agg(F.min("doc_id").alias("doc_id"))
-    some = checkpointed(some.select("doc_id", "component", "node"))
+def _encode(n: int):
+    def encode(b: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+        g = Grams(b, o, n)
+        return g.keys().view(np.int64), [g.values[i:j].tobytes() for i, j in zip(g.first[:-1], g.first[1:])]
 
-    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb, b, o in chunks(batches):
-            g = Grams(b, o, n)
-            yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(g.keys().view(np.int64)), pa.array([g.values[i:j].tobytes() for i, j in zip(g.first[:-1], g.first[1:])], pa.binary())], names=["doc_id", "node", "grams"])
+    return encode
 
-    sets = semi_join(docs, some.select("doc_id").distinct(), ["doc_id"]).mapInArrow(grams, "doc_id long, node long, grams binary")
-    sets = sets.join(some, ["doc_id", "node"]).select(bucket, "component", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "grams")
-    edges = candidates.join(home.withColumnRenamed("node", "a"), "a").select(bucket, "component", "a", "b", F.lit(None).cast("binary").alias("grams"))
 
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, dict[int, np.ndarray]] = {}
-        pairs: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        for rb in batches:
-            comp, a, b = (rb.column(k).to_numpy(zero_copy_only=False) for k in (1, 2, 3))
-            is_set = rb.column(4).is_valid().to_numpy(zero_copy_only=False)
-            for r in np.flatnonzero(is_set):
-                held.setdefault(int(comp[r]), {})[int(a[r])] = np.frombuffer(rb.column(4)[int(r)].as_buffer(), U64)
-            rest = np.flatnonzero(~is_set)
-            if len(rest):
-                b = rb.column(3).fill_null(0).to_numpy(zero_copy_only=False)
-                order = rest[np.argsort(comp[rest], kind="stable")]
-                for own in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
-                    pairs.setdefault(int(comp[own[0]]), []).append((a[own].astype(np.int64), b[own].astype(np.int64)))
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for c, own in pairs.items():
-            a, b = (np.concatenate(x) for x in zip(*own))
-            names = np.array(sorted(held[c]), np.int64)
-            i, j = np.searchsorted(names, a), np.searchsorted(names, b)
-            similar = _similarities([held[c][int(x)] for x in names], i, j)
-            ok = similar >= threshold - 1e-12
-            out.append((a[ok], b[ok], similar[ok]))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b", "jaccard"])
-
-    return sets.unionByName(edges).repartitionById(parts, F.col("part")).mapInArrow(verify, "a long, b long, jaccard double")
+def _compare(threshold: float):
+    def compare(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        similar = _similarities([x.view(U64) for x in sets], i, j)
+        return similar, similar >= threshold - 1e-12
+
+    return compare
 
 
 def jaccard_join(docs: DataFrame, n: int = 4, threshold: float = 0.5) -> DataFrame:
@@ -375,12 +328,8 @@ def jaccard_join(docs: DataFrame, n: int = 4, threshold: float = 0.5) -> DataFra
     sketch = spark.sparkContext.broadcast(sketch_of(rows))
     nodes = nodes_of(rows)
     candidates = checkpointed(_candidates(_postings(src, n, threshold, sketch, parts), threshold))
-    pairs = _verified(src, nodes, candidates, n, threshold, parts)
-    least = nodes.groupBy("node").agg(F.min("doc_id").alias("rep"))
-    same = nodes.join(least, "node").where("doc_id <> rep").select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"), F.lit(1.0).alias("jaccard")).distinct()
-    a, b = least.select(F.col("node").alias("a"), F.col("rep").alias("ra")), least.select(F.col("node").alias("b"), F.col("rep").alias("rb"))
-    near = pairs.join(a, "a").join(b, "b").where("ra <> rb").select(F.least("ra", "rb").alias("doc_a"), F.greatest("ra", "rb").alias("doc_b"), "jaccard")
-    return same.unionByName(near).groupBy("doc_a", "doc_b").agg(F.max("jaccard").alias("jaccard"))
+    pairs = verified(src, nodes, candidates, _encode(n), _compare(threshold), parts).withColumnRenamed("value", "jaccard")
+    return by_document(nodes, pairs, "jaccard", 1.0, F.max)
 
 
 def deduplicated(docs: DataFrame, n: int = 4, threshold: float = 0.5) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fm_substring, host_rules, html_density, jaccard_join, mixing, pii, sp_viterbi, suffix_family
+from . import edit_fingerprint, fm_substring, host_rules, html_density, jaccard_join, mil_classifier, mixing, pii, sp_viterbi, suffix_family
 
 #: Production parameters.
 PII_KEY = b"weftline pseudonym key, rotate per release"
@@ -50,10 +50,18 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), JACCARD_N, JACCARD_THRESHOLD)
 
 
+def op8_mil_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mil_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_viterbi.encode_documents(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+def op10_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_fingerprint.edit_pairs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_html_density": op2_html_density,
@@ -62,7 +70,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": op5_mixing,
     "op6_suffix_family": op6_suffix_family,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_mil_classifier": op8_mil_classifier,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_edit_fingerprint": op10_edit_fingerprint,
 }
 
 ORACLES: dict[str, str] = {

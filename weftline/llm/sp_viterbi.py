@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._batch import CHUNK_BYTES, Words, chunks, mix, take_ranges
+from ._batch import CHUNK_BYTES, Words, characters, chunks, mix, take_ranges
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -298,14 +298,6 @@ def _hash(s: str) -> int:
     return h
 
 
-def _chars(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of UTF-8, and their byte positions."""
-    at = np.flatnonzero((b & 0xC0) != 0x80)
-    x = np.concatenate([b, np.zeros(3, np.uint8)]).astype(np.int64)
-    c, d, e, f = x[at], x[at + 1] & 63, x[at + 2] & 63, x[at + 3] & 63
-    return np.where(c < 0x80, c, np.where(c < 0xE0, (c & 31) << 6 | d, np.where(c < 0xF0, (c & 15) << 12 | d << 6 | e, (c & 7) << 18 | d << 12 | e << 6 | f))), at
-
-
 class Encoder:
     """Encodes batches; remembers the words it has met."""
 
@@ -348,7 +340,7 @@ class Encoder:
         model = self.model
         n = ends - starts
         bytes_ = b[take_ranges(starts, n)]
-        chars, at = _chars(bytes_)
+        chars, at = characters(bytes_)
         first = np.searchsorted(at, np.cumsum(n) - n)
         count = np.diff(np.append(first, len(chars)))
         size = count + spaces
