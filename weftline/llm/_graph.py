@@ -34,13 +34,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def verified(
-    docs: DataFrame, nodes: DataFrame, candidates: DataFrame, encode: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, list[bytes]]], compare: Callable[[list[np.ndarray], np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], parts: int
+    docs: DataFrame, nodes: DataFrame, candidates: DataFrame, encode: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, list[bytes]]], prepare: Callable[[list[np.ndarray]], Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]], parts: int
 ) -> DataFrame:
-    """(a, b, value) of the candidate pairs of nodes that compare() accepts.
+    """(a, b, value) of the candidate pairs of nodes that hold.
 
-    nodes: (doc_id, node). encode(bytes, offsets) gives each document's node and content; compare(contents, i, j)
-    the values of pairs and whether they hold. The contents of a component of candidates meet in one
-    task, once each, however many pairs they are in.
+    nodes: (doc_id, node). encode(bytes, offsets) gives each document's node and content; prepare(contents) a
+    function of (i, j) that gives the values of pairs of contents and whether they hold. The contents of a component of
+    candidates meet in one task, once each, however many pairs they are in. A task's rows are sorted by component, contents
+    first, so a worker holds the contents of one component and one batch of its pairs.
     """
     home = checkpointed(components(candidates))
     part = F.pmod(F.xxhash64("component"), F.lit(parts)).cast("int").alias("part")
@@ -56,29 +57,34 @@ def verified(
     edges = candidates.join(home.withColumnRenamed("node", "a"), "a").select(part, "component", "a", "b", F.lit(None).cast("binary").alias("content"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, dict[int, np.ndarray]] = {}
-        pairs: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        now, names, held, compare = None, [], [], None
         for rb in batches:
             comp, a = (rb.column(k).to_numpy() for k in (1, 2))
             has = rb.column(4).is_valid().to_numpy(zero_copy_only=False)
-            for r in np.flatnonzero(has):
-                held.setdefault(int(comp[r]), {})[int(a[r])] = np.frombuffer(rb.column(4)[int(r)].as_buffer(), np.uint8)
-            rest = np.flatnonzero(~has)
-            if len(rest):
-                b = rb.column(3).fill_null(0).to_numpy()
-                order = rest[np.argsort(comp[rest], kind="stable")]
-                for x in np.split(order, np.flatnonzero(np.diff(comp[order])) + 1):
-                    pairs.setdefault(int(comp[x[0]]), []).append((a[x], b[x]))
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for c, own in pairs.items():
-            a, b = (np.concatenate(x) for x in zip(*own))
-            names = np.array(sorted(held[c]), np.int64)
-            value, ok = compare([held[c][int(x)] for x in names], np.searchsorted(names, a), np.searchsorted(names, b))
-            out.append((a[ok], b[ok], value[ok].astype(np.float64)))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b", "value"])
+            b = rb.column(3).fill_null(0).to_numpy()
+            out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+            edge = np.concatenate([[0], np.flatnonzero(comp[1:] != comp[:-1]) + 1, [len(comp)]])
+            for i, j in zip(edge[:-1], edge[1:]):
+                if i == j:
+                    continue
+                if comp[i] != now:
+                    now, names, held, compare = comp[i], [], [], None
+                for r in i + np.flatnonzero(has[i:j]):
+                    if not names or a[r] != names[-1]:
+                        names.append(int(a[r]))
+                        held.append(np.frombuffer(rb.column(4)[int(r)].as_py(), np.uint8))
+                pairs = i + np.flatnonzero(~has[i:j])
+                if len(pairs):
+                    if compare is None:
+                        compare, held = prepare(held), []
+                        names = np.array(names, np.int64)
+                    value, ok = compare(np.searchsorted(names, a[pairs]), np.searchsorted(names, b[pairs]))
+                    out.append((a[pairs][ok], b[pairs][ok], value[ok].astype(np.float64)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b", "value"])
 
-    return own.unionByName(edges).repartitionById(parts, F.col("part")).mapInArrow(verify, "a long, b long, value double")
+    rows = own.unionByName(edges).repartitionById(parts, F.col("part")).sortWithinPartitions("component", F.col("content").isNull(), "a")
+    return rows.mapInArrow(verify, "a long, b long, value double")
 
 
 def by_document(nodes: DataFrame, pairs: DataFrame, name: str, same: float, best: Callable) -> DataFrame:

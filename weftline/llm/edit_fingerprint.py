@@ -276,20 +276,26 @@ def bounded_distances(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, lim
     return out
 
 
-def _compare(most_edits: int, rate: float):
-    def compare(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        points = [characters(t)[0] for t in texts]
-        size = np.array([len(t) for t in points], np.int64)
-        limits = edit_limit(np.maximum(size[i], size[j]), most_edits, rate)
-        got = [np.zeros(0, np.int64)]
-        for k in range(0, len(i), 4096):
-            used, index = np.unique(np.concatenate([i[k : k + 4096], j[k : k + 4096]]), return_inverse=True)
-            h = len(index) // 2
-            got.append(bounded_distances([points[u] for u in used], index[:h], index[h:], limits[k : k + 4096]))
-        d = np.concatenate(got)
-        return d, d <= limits
-
-    return compare
+def _prepare(most_edits: int, rate: float):
+    def prepare(texts: list[np.ndarray]):
+        size = np.array([int(((t & 0xC0) != 0x80).sum()) for t in texts], np.int64)
+
+        def compare(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            limits = edit_limit(np.maximum(size[i], size[j]), most_edits, rate)
+            got = np.zeros(len(i), np.int64)
+            at = 0
+            while at < len(i):
+                # some 4096 pairs, of 4 MB of text or one pair
+                to = at + max(1, int(np.searchsorted(np.cumsum(size[i[at : at + 4096]] + size[j[at : at + 4096]]), 4 << 20, "right")))
+                used, index = np.unique(np.concatenate([i[at:to], j[at:to]]), return_inverse=True)
+                h = len(index) // 2
+                got[at:to] = bounded_distances([characters(texts[u])[0] for u in used], index[:h], index[h:], limits[at:to])
+                at = to
+            return got, got <= limits
+
+        return compare
+
+    return prepare
 
 
 def _encode(b: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
@@ -308,5 +314,5 @@ def edit_pairs(docs: DataFrame, most_edits: int = 24, rate: float = 0.05, sample
 
     nodes = blocks.where("part = -1").select("signatures", "nodes").mapInArrow(pairs_of, "doc_id long, node long")
     candidates = checkpointed(_candidates(blocks, most_edits, rate, parts))
-    near = verified(src, nodes, candidates, _encode, _compare(most_edits, rate), parts).select("a", "b", F.col("value").cast("int").alias("edits"))
+    near = verified(src, nodes, candidates, _encode, _prepare(most_edits, rate), parts).select("a", "b", F.col("value").cast("int").alias("edits"))
     return by_document(nodes, near, "edits", 0, F.min)

@@ -44,7 +44,7 @@ VERIFY = 50.0
 CHANCE = 0.02
 #: Postings beyond the mean from which on a list may be left to the other grams of a pair.
 HEAVY = 100.0
-_FLUSH = 4 << 20
+_FLUSH = 1 << 20
 
 
 class Grams:
@@ -282,26 +282,37 @@ def _candidates(postings: DataFrame, threshold: float) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum("n").alias("n"), F.first("need").alias("need")).where("n >= need").select("a", "b")
 
 
-def _similarities(a: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Jaccard similarity of the sets a[i] and a[j], as bit vectors over the grams that two of them have."""
-    sizes = np.array([len(x) for x in a])
-    values, owner = np.concatenate(a), np.repeat(np.arange(len(a)), sizes)
-    names, index, count = np.unique(values, return_inverse=True, return_counts=True)
-    shared = count > 1
-    width = (int(shared.sum()) + 63) // 64
-    both = np.zeros(len(i), np.int64)
-    if width and width * len(a) <= 8 << 20:
-        column = np.cumsum(shared) - 1
-        on = shared[index]
-        bits = np.zeros((len(a), width), U64)
-        c = column[index[on]]
-        np.bitwise_or.at(bits, (owner[on], c >> 6), U64(1) << (c & 63).astype(U64))
-        step = max(1, (1 << 20) // width)
-        for k in range(0, len(i), step):
-            both[k : k + step] = np.bitwise_count(bits[i[k : k + step]] & bits[j[k : k + step]]).sum(axis=1, dtype=np.int64)
-    elif width:
-        both = np.array([len(np.intersect1d(a[x], a[y], assume_unique=True)) for x, y in zip(i, j)], np.int64)
-    return both / (sizes[i] + sizes[j] - both)
+def _prepare(threshold: float):
+    def prepare(sets: list[np.ndarray]):
+        """Jaccard similarities of pairs of the sets, from bit vectors over the grams that two of them have; from sorted sets where these would be too large."""
+        a = [x.view(U64) for x in sets]
+        sizes = np.array([len(x) for x in a])
+        names, index, count = np.unique(np.concatenate(a), return_inverse=True, return_counts=True)
+        shared = count > 1
+        width = (int(shared.sum()) + 63) // 64
+        bits = None
+        if width * len(a) <= 8 << 20:
+            column = np.cumsum(shared) - 1
+            on = shared[index]
+            bits = np.zeros((len(a), max(width, 1)), U64)
+            c = column[index[on]]
+            np.bitwise_or.at(bits, (np.repeat(np.arange(len(a)), sizes)[on], c >> 6), U64(1) << (c & 63).astype(U64))
+            a = None
+        step = max(1, (1 << 20) // max(width, 1))
+
+        def compare(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            if bits is None:
+                both = np.array([len(np.intersect1d(a[x], a[y], assume_unique=True)) for x, y in zip(i, j)], np.int64)
+            else:
+                both = np.zeros(len(i), np.int64)
+                for k in range(0, len(i), step):
+                    both[k : k + step] = np.bitwise_count(bits[i[k : k + step]] & bits[j[k : k + step]]).sum(axis=1, dtype=np.int64)
+            similar = both / (sizes[i] + sizes[j] - both)
+            return similar, similar >= threshold - 1e-12
+
+        return compare
+
+    return prepare
 
 
 def _encode(n: int):
@@ -312,14 +323,6 @@ def _encode(n: int):
     return encode
 
 
-def _compare(threshold: float):
-    def compare(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        similar = _similarities([x.view(U64) for x in sets], i, j)
-        return similar, similar >= threshold - 1e-12
-
-    return compare
-
-
 def jaccard_join(docs: DataFrame, n: int = 4, threshold: float = 0.5) -> DataFrame:
     """(doc_a, doc_b, jaccard) with doc_a < doc_b: equal sets linked to their least doc_id, and all pairs of different sets that reach the threshold, by their least doc_ids."""
     spark: SparkSession = docs.sparkSession
@@ -328,7 +331,7 @@ def jaccard_join(docs: DataFrame, n: int = 4, threshold: float = 0.5) -> DataFra
     sketch = spark.sparkContext.broadcast(sketch_of(rows))
     nodes = nodes_of(rows)
     candidates = checkpointed(_candidates(_postings(src, n, threshold, sketch, parts), threshold))
-    pairs = verified(src, nodes, candidates, _encode(n), _compare(threshold), parts).withColumnRenamed("value", "jaccard")
+    pairs = verified(src, nodes, candidates, _encode(n), _prepare(threshold), parts).withColumnRenamed("value", "jaccard")
     return by_document(nodes, pairs, "jaccard", 1.0, F.max)
 
 
