@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._batch import FOLDED, Words, chunks
+from ._batch import CHUNK_BYTES, FOLDED, Words, chunks
 
 PASSAGE = 64
 BUCKETS = 1 << 18
@@ -87,14 +87,10 @@ class Bags:
         return np.concatenate([np.stack(out, axis=1), self.shapes], axis=1).astype(np.float32)
 
 
-def log_odds(buckets: np.ndarray, doc: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Log odds of label 1 for documents that have each bucket, shrunk where few have it."""
-    seen = np.unique(doc.astype(np.int64) * BUCKETS + buckets)
-    d, k = seen // BUCKETS, seen % BUCKETS
-    one = np.bincount(k, weights=label[d], minlength=BUCKETS)
-    zero = np.bincount(k, minlength=BUCKETS) - one
-    odds = np.log((one + 0.5) / (label.sum() + 1)) - np.log((zero + 0.5) / ((1 - label).sum() + 1))
-    return (odds * (one + zero) / (one + zero + 3)).astype(np.float32)
+def log_odds(one: np.ndarray, every: np.ndarray, ones: int, all_: int) -> np.ndarray:
+    """Log odds of label 1 for documents that have each bucket, shrunk where few have it: `one` of the `ones` with label 1 and `every` of `all_` documents."""
+    odds = np.log((one + 0.5) / (ones + 1)) - np.log((every - one + 0.5) / (all_ - ones + 1))
+    return (odds * every / (every + 3)).astype(np.float32)
 
 
 class Attention:
@@ -149,30 +145,43 @@ class Classifier:
         if not n:
             return
         table = pa.table({"text": pa.array(texts, pa.string())})
-        bags, docs, at = [], [], 0
-        for rb, b, o in chunks(table.to_batches()):
-            bags.append(Bags(b, o))
-            docs.append(at)
-            at += rb.num_rows
         half = np.arange(n) % 2 == 0
-        own = [np.repeat(np.arange(len(g.first) - 1), np.diff(g.first)) + d for g, d in zip(bags, docs)]
-        word_doc = np.concatenate([np.repeat(o, g.end - g.word) for o, g in zip(own, bags)])
-        use = half[word_doc]
-        for k in range(len(HEADS)):
-            bucket = np.concatenate([g.buckets[k] for g in bags])[use]
-            for y in range(2):
-                if 0 < labels[half, y].sum() < half.sum():
-                    self.odds[y, k] = log_odds(bucket, word_doc[use], labels[:, y])
-        del word_doc, use
-        x = np.concatenate([g.encode(self.odds) for g in bags])
-        own = np.concatenate(own)
-        x, own = x[~half[own]], own[~half[own]]
+        one, every = np.zeros((2, len(HEADS), BUCKETS)), np.zeros((len(HEADS), BUCKETS))
+        for _, b, o, rows in self._halves(table, half):
+            bags = Bags(b, o)
+            doc = np.repeat(np.arange(len(o) - 1), np.diff(bags.first))
+            doc = np.repeat(doc, bags.end - bags.word).astype(np.int64)
+            for k, bucket in enumerate(bags.buckets):
+                seen = np.unique(doc * BUCKETS + bucket)
+                d, bucket = rows[seen // BUCKETS], seen % BUCKETS
+                every[k] += np.bincount(bucket, minlength=BUCKETS)
+                for y in range(2):
+                    one[y, k] += np.bincount(bucket, weights=labels[d, y], minlength=BUCKETS)
+        for y in range(2):
+            if 0 < labels[half, y].sum() < half.sum():
+                for k in range(len(HEADS)):
+                    self.odds[y, k] = log_odds(one[y, k], every[k], labels[half, y].sum(), half.sum())
+        del one, every
+        x, own = [np.zeros((0, 4 * len(HEADS) + 6), np.float32)], [np.zeros(0, np.int64)]
+        for _, b, o, rows in self._halves(table, ~half):
+            bags = Bags(b, o)
+            x.append(bags.encode(self.odds))
+            own.append(np.repeat(rows, np.diff(bags.first)))
+        x, own = np.concatenate(x), np.concatenate(own)
         first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else own
         for y in range(2):
             t = labels[own[first], y].astype(np.float64)
             if len(t) and 0 < t.sum() < len(t):
                 self.nets[y] = Attention(x.shape[1]).fit(x.astype(np.float64), first, t)
 
+    @staticmethod
+    def _halves(table: pa.Table, use: np.ndarray) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+        """chunks of the rows in use, with their row numbers."""
+        rows, at = np.flatnonzero(use), 0
+        for rb, b, o in chunks(iter(table.filter(pa.array(use)).to_batches()), most=CHUNK_BYTES // 2):
+            yield rb, b, o, rows[at : at + rb.num_rows]
+            at += rb.num_rows
+
     def score(self, b: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """(document, label) scores of the documents of a buffer."""
         bags = Bags(b, offsets)
