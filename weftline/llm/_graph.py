@@ -13,9 +13,45 @@ from ._batch import chunks
 from ._spark import checkpointed, semi_join
 
 
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component) of the edges, without the least nodes themselves."""
+    names, index = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = index[: len(a)], index[len(a) :]
+    label = np.arange(len(names))
+    while True:
+        x, y = label[i], label[j]
+        on = x != y
+        if not on.any():
+            break
+        i, j, x, y = i[on], j[on], x[on], y[on]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(up := label[label], label):
+            label = up
+    own = np.flatnonzero(label != np.arange(len(names)))
+    return names[own], names[label[own]]
+
+
+def forest(edges: DataFrame) -> DataFrame:
+    """Edges (a, b) with the same components, of which a partition has fewer than nodes: what a dense group sends on grows with its nodes, not its pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for rb in batches:
+            held.append((rb.column(0).to_numpy(), rb.column(1).to_numpy()))
+            size += rb.num_rows
+            if size > 1 << 20:
+                held = [stars(*(np.concatenate(x) for x in zip(*held)))]
+                size = len(held[0][0]) // 2
+        if held:
+            a, b = stars(*(np.concatenate(x) for x in zip(*held)))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    return edges.select("a", "b").where("a is not null and b is not null").mapInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of an undirected graph with edges (a, b): the least node of each connected component, by alternating large and small stars."""
-    e = checkpointed(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    e = checkpointed(forest(edges).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -36,7 +72,7 @@ def components(edges: DataFrame) -> DataFrame:
 def verified(
     docs: DataFrame, nodes: DataFrame, candidates: DataFrame, encode: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, list[bytes]]], prepare: Callable[[list[np.ndarray]], Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]], parts: int
 ) -> DataFrame:
-    """(a, b, value) of the candidate pairs of nodes that hold.
+    """(doc_a, doc_b, value) of the candidate pairs of nodes that hold, by the nodes' least doc_ids.
 
     nodes: (doc_id, node). encode(bytes, offsets) gives each document's node and content; prepare(contents) a
     function of (i, j) that gives the values of pairs of contents and whether they hold. The contents of a component of
@@ -53,11 +89,11 @@ def verified(
             yield pa.RecordBatch.from_arrays([rb.column(0), pa.array(keys), pa.array(blobs, pa.binary())], names=["doc_id", "node", "content"])
 
     own = semi_join(docs, some.select("doc_id").distinct(), ["doc_id"]).select("doc_id", "text").mapInArrow(content, "doc_id long, node long, content binary")
-    own = own.join(some, ["doc_id", "node"]).select(part, "component", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "content")
+    own = own.join(some, ["doc_id", "node"]).select(part, "component", F.col("node").alias("a"), F.col("doc_id").alias("b"), "content")
     edges = candidates.join(home.withColumnRenamed("node", "a"), "a").select(part, "component", "a", "b", F.lit(None).cast("binary").alias("content"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, names, held, compare = None, [], [], None
+        now, names, ids, held, compare = None, [], [], [], None
         for rb in batches:
             comp, a = (rb.column(k).to_numpy() for k in (1, 2))
             has = rb.column(4).is_valid().to_numpy(zero_copy_only=False)
@@ -68,29 +104,30 @@ def verified(
                 if i == j:
                     continue
                 if comp[i] != now:
-                    now, names, held, compare = comp[i], [], [], None
+                    now, names, ids, held, compare = comp[i], [], [], [], None
                 for r in i + np.flatnonzero(has[i:j]):
                     if not names or a[r] != names[-1]:
                         names.append(int(a[r]))
+                        ids.append(int(b[r]))
                         held.append(np.frombuffer(rb.column(4)[int(r)].as_py(), np.uint8))
                 pairs = i + np.flatnonzero(~has[i:j])
                 if len(pairs):
                     if compare is None:
                         compare, held = prepare(held), []
-                        names = np.array(names, np.int64)
-                    value, ok = compare(np.searchsorted(names, a[pairs]), np.searchsorted(names, b[pairs]))
-                    out.append((a[pairs][ok], b[pairs][ok], value[ok].astype(np.float64)))
+                        names, ids = np.array(names, np.int64), np.array(ids, np.int64)
+                    x, y = np.searchsorted(names, a[pairs]), np.searchsorted(names, b[pairs])
+                    value, ok = compare(x, y)
+                    x, y = ids[x[ok]], ids[y[ok]]
+                    out.append((np.minimum(x, y), np.maximum(x, y), value[ok].astype(np.float64)))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["a", "b", "value"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["doc_a", "doc_b", "value"])
 
     rows = own.unionByName(edges).repartitionById(parts, F.col("part")).sortWithinPartitions("component", F.col("content").isNull(), "a")
-    return rows.mapInArrow(verify, "a long, b long, value double")
+    return rows.mapInArrow(verify, "doc_a long, doc_b long, value double").where("doc_a <> doc_b")
 
 
-def by_document(nodes: DataFrame, pairs: DataFrame, name: str, same: float, best: Callable) -> DataFrame:
-    """(doc_a, doc_b, name): pairs of nodes by the nodes' least doc_ids, and each node's other documents linked to its least, with value `same`."""
+def by_document(nodes: DataFrame, near: DataFrame, name: str, same: float, best: Callable) -> DataFrame:
+    """(doc_a, doc_b, name): the pairs of near, and each node's other documents linked to its least, with value `same`."""
     least = nodes.groupBy("node").agg(F.min("doc_id").alias("rep"))
     equal = nodes.join(least, "node").where("doc_id <> rep").select(F.col("rep").alias("doc_a"), F.col("doc_id").alias("doc_b"), F.lit(same).alias(name)).distinct()
-    a, b = least.select(F.col("node").alias("a"), F.col("rep").alias("ra")), least.select(F.col("node").alias("b"), F.col("rep").alias("rb"))
-    near = pairs.join(a, "a").join(b, "b").where("ra <> rb").select(F.least("ra", "rb").alias("doc_a"), F.greatest("ra", "rb").alias("doc_b"), name)
-    return equal.unionByName(near).groupBy("doc_a", "doc_b").agg(best(name).alias(name))
+    return equal.unionByName(near.select("doc_a", "doc_b", name)).groupBy("doc_a", "doc_b").agg(best(name).alias(name))

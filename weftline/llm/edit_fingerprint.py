@@ -314,5 +314,5 @@ def edit_pairs(docs: DataFrame, most_edits: int = 24, rate: float = 0.05, sample
 
     nodes = blocks.where("part = -1").select("signatures", "nodes").mapInArrow(pairs_of, "doc_id long, node long")
     candidates = checkpointed(_candidates(blocks, most_edits, rate, parts))
-    near = verified(src, nodes, candidates, _encode, _prepare(most_edits, rate), parts).select("a", "b", F.col("value").cast("int").alias("edits"))
+    near = verified(src, nodes, candidates, _encode, _prepare(most_edits, rate), parts).select("doc_a", "doc_b", F.col("value").cast("int").alias("edits"))
     return by_document(nodes, near, "edits", 0, F.min)

@@ -11,6 +11,11 @@ Of a document's heaviest lists up to l - 1 are no "seeds" for it: a list pairs t
 seed for one of them. A pair then has to be met in min(l, l') lists less the smaller number of its lists that
 are no seeds, and lists that very many documents have (a licence line) cost no pairs between them.
 
+Near copies share grams in most parts of the index, and a group of n of them has n^2 / 2 pairs. A document whose
+prefix is mostly of frequent grams therefore takes its LEAST seeds of least hash to all its postings. If two
+have as many of them in common as they have to share, the part with the least one alone reports the pair;
+all other pairs are counted over all parts.
+
 Candidates are verified exactly, by components of the candidate graph, each of which meets in one task.
 Equal sets are one node: its documents are linked to the least doc_id among them with similarity 1, and
 only that one is joined. Every other pair of the full join follows from these rows.
@@ -45,6 +50,8 @@ CHANCE = 0.02
 #: Postings beyond the mean from which on a list may be left to the other grams of a pair.
 HEAVY = 100.0
 _FLUSH = 1 << 20
+#: Seeds that a document of a large group takes to its postings.
+LEAST = 5
 
 
 class Grams:
@@ -159,8 +166,8 @@ def nodes_of(rows: DataFrame) -> DataFrame:
     return rows.where("slot = -1").select("ids", "keys").mapInArrow(run, "doc_id long, node long")
 
 
-def prefixes(g: Grams, sketch: Sketch, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(positions of the prefixes' grams in g, their documents, whether each is listed as a seed, each document's l, and how many of its grams are no seeds)."""
+def prefixes(g: Grams, sketch: Sketch, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(positions of the prefixes' grams in g, their documents, whether each is listed as a seed, each document's l, how many of its grams are no seeds, and whether most are frequent)."""
     df = sketch.buckets[(g.values >> U64(44)).astype(np.int64)]
     order = np.lexsort((g.values, df, g.doc))
     m = g.sizes.astype(np.int64)
@@ -183,21 +190,48 @@ def prefixes(g: Grams, sketch: Sketch, threshold: float) -> tuple[np.ndarray, np
     at = take_ranges(begin, length)
     doc = np.repeat(np.arange(len(m)), length)
     rank = np.arange(len(at)) - np.repeat(np.cumsum(length) - length, length)
-    return order[at], doc, rank < (length - none)[doc], best, none
+    often = np.concatenate([[0], np.cumsum(f > 0)])
+    crowd = (often[begin + length] - often[begin]) * 2 > length
+    return order[at], doc, rank < (length - none)[doc], best, none, crowd
+
+
+def least_seeds(values: np.ndarray, doc: np.ndarray, documents: int) -> np.ndarray:
+    """The LEAST least values of each document, 0 where it has fewer."""
+    order = np.lexsort((values, doc))
+    v, d = values[order], doc[order]
+    rank = np.arange(len(d)) - np.searchsorted(d, d)
+    out = np.zeros((documents, LEAST), U64)
+    on = rank < LEAST
+    out[d[on], rank[on]] = v[on]
+    return out
+
+
+def _in_common(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(how many values the rows of x and y have in common, the least of these)."""
+    count, least = np.zeros(len(x), np.int32), np.full(len(x), ~U64(0))
+    for p in range(LEAST):
+        for q in range(LEAST):
+            same = (x[:, p] == y[:, q]) & (x[:, p] != 0)
+            count += same
+            np.minimum(least, x[:, p], out=least, where=same)
+    return count, least
 
 
-_BLOCK = "part int, grams binary, flags binary, nodes binary, sizes binary, needs binary"
+_BLOCK = "part int, grams binary, flags binary, nodes binary, sizes binary, needs binary, least binary"
 
 
 def _postings(docs: DataFrame, n: int, threshold: float, sketch, parts: int) -> DataFrame:
-    """Prefix grams of all sets, in blocks by part of the gram's hash: 32 bits of the gram, the set and whether it is a seed; for each set its size, l and number of grams that are no seeds."""
+    """Prefix grams of all sets, in blocks by part of the gram's hash: 32 bits of the gram, the set and whether it is a seed; for each set its size, l and number of grams that are no seeds, and the least seeds if it is in a crowd."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for _, b, o in chunks(batches):
             g = Grams(b, o, n)
-            at, doc, seed, need, none = prefixes(g, sketch.value, threshold)
-            held.append((g.values[at], g.keys()[doc], seed, g.sizes[doc].astype(np.int32), (need << 4 | none)[doc].astype(np.uint8)))
+            at, doc, seed, need, none, crowd = prefixes(g, sketch.value, threshold)
+            keys = g.keys()
+            own = seed & crowd[doc]
+            named = np.flatnonzero(crowd)
+            held.append((g.values[at], keys[doc], seed, g.sizes[doc].astype(np.int32), (crowd << 7 | need << 4 | none)[doc].astype(np.uint8), keys[named], least_seeds(g.values[at][own], doc[own], len(crowd))[named]))
             size += len(at)
             if size > _FLUSH:
                 yield from blocks(held)
@@ -206,27 +240,31 @@ def _postings(docs: DataFrame, n: int, threshold: float, sketch, parts: int) ->
             yield from blocks(held)
 
     def blocks(held: list) -> Iterator[pa.RecordBatch]:
-        grams, nodes, seed, sizes, needs = (np.concatenate(x) for x in zip(*held))
+        grams, nodes, seed, sizes, needs, named, least = (np.concatenate(x) for x in zip(*held))
+        by_name = np.argsort(named)
+        named, least = named[by_name], least[by_name]
         part = (grams % U64(parts)).astype(np.int32)
         order = np.argsort(part, kind="stable")
         edges = np.searchsorted(part[order], np.arange(parts + 1))
         some = np.flatnonzero(np.diff(edges))
         for c in range(0, len(some), 64):
-            rows: list[list] = [[], [], [], [], [], []]
+            rows: list[list] = [[] for _ in range(7)]
             for k in some[c : c + 64]:
                 own = order[edges[k] : edges[k + 1]]
                 # the sets of a block as a table: a posting takes 4 bytes for the gram and 4 for set and seed
                 node, first, index = np.unique(nodes[own], return_index=True, return_inverse=True)
                 short = (grams[own] // U64(parts)).astype(np.uint32)
-                for r, v in zip(rows, (int(k), short.tobytes(), (index.astype(np.uint32) << 1 | seed[own]).tobytes(), node.tobytes(), sizes[own[first]].tobytes(), needs[own[first]].tobytes())):
+                need = needs[own[first]]
+                mine = least[np.searchsorted(named, node[need >= 128])]
+                for r, v in zip(rows, (int(k), short.tobytes(), (index.astype(np.uint32) << 1 | seed[own]).tobytes(), node.tobytes(), sizes[own[first]].tobytes(), need.tobytes(), mine.tobytes())):
                     r.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int32() if k == 0 else pa.binary()) for k, r in enumerate(rows)], names=["part", "grams", "flags", "nodes", "sizes", "needs"])
+            yield pa.RecordBatch.from_arrays([pa.array(r, pa.int32() if k == 0 else pa.binary()) for k, r in enumerate(rows)], names=["part", "grams", "flags", "nodes", "sizes", "needs", "least"])
 
     return docs.mapInArrow(run, _BLOCK).repartitionById(parts, F.col("part"))
 
 
 def _pairs_of_lists(grams: np.ndarray, node: np.ndarray, sizes: np.ndarray, seed: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of nodes in one list, one of them a seed there, whose sizes allow the threshold; some 2 million at a time."""
+    """Pairs of nodes in one list, one of them a seed there, whose sizes allow the threshold; some million at a time."""
     order = np.lexsort((sizes[node], grams))
     g, v, s = grams[order], node[order], seed[order]
     z = sizes[v].astype(np.float64)
@@ -239,7 +277,7 @@ def _pairs_of_lists(grams: np.ndarray, node: np.ndarray, sizes: np.ndarray, seed
     n = reach - np.arange(len(g)) - 1
     total, at = np.cumsum(n), 0
     while at < len(g):
-        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (2 << 20), "right")))
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 20), "right")))
         i = np.repeat(np.arange(at, to), n[at:to])
         j = take_ranges(np.arange(at, to) + 1, n[at:to])
         ok = (s[i] | s[j]) & (v[i] != v[j])
@@ -247,14 +285,15 @@ def _pairs_of_lists(grams: np.ndarray, node: np.ndarray, sizes: np.ndarray, seed
         at = to
 
 
-def _candidates(postings: DataFrame, threshold: float) -> DataFrame:
+def _candidates(postings: DataFrame, threshold: float, parts: int) -> DataFrame:
     """(a, b) of the nodes whose prefixes share as many grams as they have to."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = (np.uint32, np.uint32, np.uint64, np.int32, np.uint8)
+        kinds = (np.uint32, np.uint32, U64, np.int32, np.uint8, U64)
         got: list[list[np.ndarray]] = [[] for _ in kinds]
-        base = 0
+        base, mine = 0, 0
         for rb in batches:
+            mine = rb.column(0)[0].as_py() if rb.num_rows else mine
             for i in range(rb.num_rows):
                 x = [np.frombuffer(rb.column(k + 1)[i].as_buffer(), kind) for k, kind in enumerate(kinds)]
                 x[1] = x[1] + np.uint32(2 * base)
@@ -263,9 +302,15 @@ def _candidates(postings: DataFrame, threshold: float) -> DataFrame:
                     g.append(v)
         if not base:
             return
-        grams, flags, nodes, sizes, needs = (np.concatenate(x) for x in got)
+        grams, flags, nodes, sizes, needs, least = (np.concatenate(x) for x in got)
+        del got
+        at = np.cumsum(needs >= 128) - 1
         names, first, index = np.unique(nodes, return_index=True, return_inverse=True)
-        sizes, needs = sizes[first], needs[first]
+        sizes, needs, at = sizes[first], needs[first], at[first]
+        crowd = needs >= 128
+        least = np.append(least, np.zeros(LEAST, U64)).reshape(-1, LEAST)
+        at[~crowd] = len(least) - 1  # none in common with any
+        needs = (needs & 127).astype(np.int32)
         # one posting for each gram and set, of those grams that several sets have
         posting = np.unique(grams.astype(U64) << U64(32) | (index[flags >> 1].astype(U64) << U64(1)) | (flags & 1).astype(U64))
         gram = posting >> U64(32)
@@ -275,7 +320,15 @@ def _candidates(postings: DataFrame, threshold: float) -> DataFrame:
         for i, j in _pairs_of_lists(posting >> U64(32), node, sizes, (posting & U64(1)).astype(bool), threshold):
             pair, count = np.unique(np.minimum(i, j) << 32 | np.maximum(i, j), return_counts=True)
             i, j = pair >> 32, pair & 0xFFFFFFFF
-            need = np.minimum(needs[i] >> 4, needs[j] >> 4).astype(np.int32) - np.minimum(needs[i] & 15, needs[j] & 15)
+            need = np.minimum(needs[i] >> 4, needs[j] >> 4) - np.minimum(needs[i] & 15, needs[j] & 15)
+            both = np.flatnonzero(crowd[i] & crowd[j])
+            if len(both):
+                common, owner = _in_common(least[at[i[both]]], least[at[j[both]]])
+                known = common >= need[both]
+                count[both[known]] = need[both[known]]
+                keep = np.ones(len(i), bool)
+                keep[both[known & (owner % U64(parts) != U64(mine))]] = False
+                i, j, count, need = i[keep], j[keep], count[keep], need[keep]
             yield pa.RecordBatch.from_arrays([pa.array(names[i].view(np.int64)), pa.array(names[j].view(np.int64)), pa.array(count.astype(np.int32)), pa.array(need.astype(np.int32))], names=["a", "b", "n", "need"])
 
     pairs = postings.mapInArrow(run, "a long, b long, n int, need int")
@@ -330,7 +383,7 @@ def jaccard_join(docs: DataFrame, n: int = 4, threshold: float = 0.5) -> DataFra
     rows = survey(src, n)
     sketch = spark.sparkContext.broadcast(sketch_of(rows))
     nodes = nodes_of(rows)
-    candidates = checkpointed(_candidates(_postings(src, n, threshold, sketch, parts), threshold))
+    candidates = checkpointed(_candidates(_postings(src, n, threshold, sketch, parts), threshold, parts))
     pairs = verified(src, nodes, candidates, _encode(n), _prepare(threshold), parts).withColumnRenamed("value", "jaccard")
     return by_document(nodes, pairs, "jaccard", 1.0, F.max)
 
