@@ -5,7 +5,7 @@ random bit R[t, c], for three steps a character or until the text ends. Document
 fall apart at an edit and soon meet again, so edit distance becomes Hamming distance between what
 they write. A fingerprint has WALKS walks with BANDS bands each; a band samples `samples` places of a
 short stretch of the walk, and stretches are spread over the whole text. Documents of a length class that agree in a
-band are candidates, if their lengths allow it; every candidate's edit distance is then worked out
+band are candidates, if their lengths and their counts of characters, in CLASSES classes, allow it; every candidate's edit distance is then worked out
 exactly, up to the limit min(most_edits, floor(rate * length of the longer text)), in characters.
 
 Equal texts are one node, linked to the least doc_id among them at distance 0. The search is approximate:
@@ -120,21 +120,36 @@ def node_keys(b: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return mix((s[offsets[1:]] - s[offsets[:-1]]) * inverse[offsets[:-1]] + np.diff(offsets).astype(U64)).view(np.int64)
 
 
-_BLOCK = "part int, signatures binary, nodes binary, lengths binary"
+#: Classes of characters whose counts travel with a signature, mod 256.
+CLASSES = 16
+_BLOCK = "part int, signatures binary, nodes binary, lengths binary, bags binary"
+
+
+def bags(chars: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(text, class) counts of the texts' characters, mod 256."""
+    n = len(offsets) - 1
+    own = np.repeat(np.arange(n), np.diff(offsets))
+    return np.bincount(own * CLASSES + chars % CLASSES, minlength=n * CLASSES).astype(np.uint8).reshape(n, CLASSES)
+
+
+def bag_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Least edits between texts with these counts, if it is under 128: an edit adds to one class at most, and takes from one."""
+    d = (x - y).view(np.int8).astype(np.int16)
+    return np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1))
 
 
 def _signatures(docs: DataFrame, samples: int, most_edits: int, rate: float, parts: int) -> DataFrame:
     """Blocks of (signature, node, length) by part of the signature; and rows of part -1: (ids, nodes)."""
 
     def rows(*columns: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(columns)], names=["part", "signatures", "nodes", "lengths"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(columns)], names=["part", "signatures", "nodes", "lengths", "bags"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for rb, b, o in chunks(batches):
             some = np.diff(o) > 0
             nodes = node_keys(b, o)
-            yield rows([-1], [rb.column(0).to_numpy()[some].tobytes()], [nodes[some].tobytes()], [None])
+            yield rows([-1], [rb.column(0).to_numpy()[some].tobytes()], [nodes[some].tobytes()], [None], [None])
             c, at = fold(b, o)
             # equal texts of a chunk walk once
             _, first = np.unique(nodes, return_index=True)
@@ -154,6 +169,7 @@ def _signatures(docs: DataFrame, samples: int, most_edits: int, rate: float, par
         offsets = np.concatenate([[0], np.cumsum(n)])
         chars, n, nodes = chars[take_ranges(offsets[:-1][first], n[first])], n[first], nodes[first]
         offsets = np.concatenate([[0], np.cumsum(n)])
+        bag = bags(chars, offsets)
         cls = length_class(n)
         lower = length_class(n - edit_limit(n, most_edits, rate))
         also = np.flatnonzero(lower != cls)
@@ -170,7 +186,7 @@ def _signatures(docs: DataFrame, samples: int, most_edits: int, rate: float, par
         edges = np.searchsorted(part, np.arange(parts + 1))
         for k in np.flatnonzero(np.diff(edges)):
             x = slice(edges[k], edges[k + 1])
-            yield rows([int(k)], [sig[x].tobytes()], [nodes[own[x]].tobytes()], [n[own[x]].astype(np.int32).tobytes()])
+            yield rows([int(k)], [sig[x].tobytes()], [nodes[own[x]].tobytes()], [n[own[x]].astype(np.int32).tobytes()], [bag[own[x]].tobytes()])
 
     return docs.mapInArrow(run, _BLOCK)
 
@@ -179,19 +195,20 @@ def _candidates(blocks: DataFrame, most_edits: int, rate: float, parts: int) ->
     """(a, b) of nodes that agree in a band and whose lengths are within the limit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: list[list[np.ndarray]] = [[], [], []]
+        got: list[list[np.ndarray]] = [[], [], [], []]
         for rb in batches:
             for i in range(rb.num_rows):
-                for g, k, kind in zip(got, (1, 2, 3), (U64, np.int64, np.int32)):
+                for g, k, kind in zip(got, (1, 2, 3, 4), (U64, np.int64, np.int32, np.uint8)):
                     g.append(np.frombuffer(rb.column(k)[i].as_buffer(), kind))
         if not got[0]:
             return
-        sig, node, length = (np.concatenate(g) for g in got)
+        sig, node, length, bag = (np.concatenate(g) for g in got)
+        bag = bag.reshape(-1, CLASSES)
         order = np.lexsort((node, length, sig))
-        sig, node, length = sig[order], node[order], length[order].astype(np.int64)
+        sig, node, length, bag = sig[order], node[order], length[order].astype(np.int64), bag[order]
         new = np.ones(len(sig), bool)
         new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-        sig, node, length = sig[new], node[new], length[new]
+        sig, node, length, bag = sig[new], node[new], length[new], bag[new]
         first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(sig))))
         # partners are those behind a node in its bucket, while they are not too long
@@ -200,9 +217,13 @@ def _candidates(blocks: DataFrame, most_edits: int, rate: float, parts: int) ->
         n = reach - np.arange(len(sig)) - 1
         total, at = np.cumsum(n), 0
         while at < len(sig):
-            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (2 << 20), "right")))
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 20), "right")))
             i, j = np.repeat(np.arange(at, to), n[at:to]), take_ranges(np.arange(at, to) + 1, n[at:to])
-            ok = length[j] - length[i] <= edit_limit(length[j], most_edits, rate)
+            limit = edit_limit(length[j], most_edits, rate)
+            ok = length[j] - length[i] <= limit
+            if most_edits < 128:
+                i, j, limit = i[ok], j[ok], limit[ok]
+                ok = bag_bound(bag[i], bag[j]) <= limit
             a, b = np.minimum(node[i[ok]], node[j[ok]]), np.maximum(node[i[ok]], node[j[ok]])
             pair = np.unique(np.stack([a, b], axis=1), axis=0)
             if len(pair):
