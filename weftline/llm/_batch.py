@@ -15,7 +15,7 @@ import pyarrow as pa
 U64 = np.uint64
 _B = 0x9E3779B97F4A7C15 | 1
 _BINV = pow(_B, -1, 1 << 64)
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: Byte tables: raw keeps bytes and splits on ASCII white space; folded lowers ASCII and splits on all but letters, digits and non-ASCII.
 RAW = np.arange(256, dtype=np.uint8)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._batch import CHUNK_BYTES, Words, characters, chunks, mix, take_ranges
+from ._batch import Words, characters, chunks, mix, take_ranges
 
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -493,7 +493,7 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, encoder = load(model_path)
-        for rb, b, o in chunks(batches, most=2 * CHUNK_BYTES):
+        for rb, b, o in chunks(batches):
             ids, at = encoder.encode(b, o)
             back, ends = decode(model, ids, at)
             same = np.diff(ends) == np.diff(o)
