@@ -170,6 +170,39 @@ def test_edit_pairs(spark):
     assert all(edit_fingerprint.bag_bound(x, y) <= [distance(rows[a][1].encode()[:200], rows[a + 1][1].encode()[:200]) for a in range(0, 20, 2)])
 
 
+def test_edit_pairs_of_long_texts(spark):
+    """The limit grows with the text: 60 scattered edits in some 2000 characters are within 5%, 150 are not."""
+    r = random.Random(11)
+    rows = []
+    for i in range(12):
+        t = " ".join(r.choices(WORDS, k=430))
+        rows.append((2 * i, t))
+        s = list(t)
+        for k in r.sample(range(len(s)), 60 if i < 10 else 150):
+            s[k] = "x"
+        rows.append((2 * i + 1, "".join(s)))
+    got = {(x.doc_a, x.doc_b): x.edits for x in edit_fingerprint.edit_pairs(frame(spark, rows)).collect()}
+    want = {(a, a + 1): d for a in range(0, 24, 2) if (d := distance(rows[a][1], rows[a + 1][1])) <= 0.05 * max(len(rows[a][1]), len(rows[a + 1][1]))}
+    assert len(want) == 10 and min(want.values()) > 24
+    assert all(want.get(k) == v for k, v in got.items()) and len(got) >= 0.9 * len(want)
+
+
+def test_far_distance():
+    r = random.Random(13)
+    for _ in range(200):
+        a = [r.randrange(5) for _ in range(r.randint(1, 60))]
+        b = list(a)
+        for _ in range(r.randint(0, 12)):
+            k = r.randrange(len(b) + 1)
+            b[k : k + r.randint(0, 2)] = [r.randrange(5) for _ in range(r.randint(0, 2))]
+        d = distance(a, b)
+        for limit in (0, 3, 100):
+            assert edit_fingerprint.far_distance(np.array(a, np.int64), np.array(b, np.int64), limit) == min(d, limit + 1)
+    a = r.choices(range(30), k=1500)
+    b = r.choices(range(30), k=1500)
+    assert edit_fingerprint.far_distance(np.array(a), np.array(b), 75) == 76 and edit_fingerprint.far_distance(np.array(a), np.array(b), 1500) == distance(a, b)
+
+
 def test_pii(spark):
     t = "Card 4111 1111 1111 1111, mail Ann.Lee@mail.example.com, born 1990-05-17 or 31.12.1999, SSN 123-45-6789, IBAN DE89 3704 0044 0532 0130 00, ip 10.0.0.1, call +49 170 1234567. Plain 12 stays."
     d = frame(spark, [(1, t), (2, "again 4111 1111 1111 1111")])

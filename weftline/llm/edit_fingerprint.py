@@ -6,7 +6,7 @@ fall apart at an edit and soon meet again, so edit distance becomes Hamming dist
 they write. A fingerprint has WALKS walks with BANDS bands each; a band samples `samples` places of a
 short stretch of the walk, and stretches are spread over the whole text. Documents of a length class that agree in a
 band are candidates, if their lengths and their counts of characters, in CLASSES classes, allow it; every candidate's edit distance is then worked out
-exactly, up to the limit min(most_edits, floor(rate * length of the longer text)), in characters.
+exactly, up to the limit floor(rate * length of the longer text), in characters; most_edits, if it is given, caps the limit.
 
 Equal texts are one node, linked to the least doc_id among them at distance 0. The search is approximate:
 tests hold its recall against brute force at 0.9 or more.
@@ -48,8 +48,15 @@ def _bits(walk: int, block: int) -> np.ndarray:
     return np.random.default_rng([7919, walk, block]).integers(0, 2, (_STEPS, 256), np.uint8)
 
 
-def edit_limit(length, most_edits: int, rate: float):
-    return np.minimum(most_edits, np.floor(rate * np.asarray(length) + 1e-9)).astype(np.int64)
+def edit_limit(length, most_edits: int | None, rate: float):
+    limit = np.floor(rate * np.asarray(length) + 1e-9).astype(np.int64)
+    return limit if most_edits is None else np.minimum(most_edits, limit)
+
+
+def longest(length: np.ndarray, most_edits: int | None, rate: float) -> np.ndarray:
+    """No text within its limit of these lengths is longer."""
+    most = np.floor((length + 1) / (1 - rate)).astype(np.int64)
+    return most if most_edits is None else np.minimum(most, length + most_edits)
 
 
 def length_class(length: np.ndarray) -> np.ndarray:
@@ -138,7 +145,12 @@ def bag_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1))
 
 
-def _signatures(docs: DataFrame, samples: int, most_edits: int, rate: float, parts: int) -> DataFrame:
+def far_bag_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """As bag_bound, for any number of edits: counts mod 256 differ by no less than this, but the sign is unknown."""
+    return (np.abs((x - y).view(np.int8).astype(np.int16)).sum(axis=1) + 1) // 2
+
+
+def _signatures(docs: DataFrame, samples: int, most_edits: int | None, rate: float, parts: int) -> DataFrame:
     """Blocks of (signature, node, length) by part of the signature; and rows of part -1: (ids, nodes)."""
 
     def rows(*columns: list) -> pa.RecordBatch:
@@ -191,7 +203,7 @@ def _signatures(docs: DataFrame, samples: int, most_edits: int, rate: float, par
     return docs.mapInArrow(run, _BLOCK)
 
 
-def _candidates(blocks: DataFrame, most_edits: int, rate: float, parts: int) -> DataFrame:
+def _candidates(blocks: DataFrame, most_edits: int | None, rate: float, parts: int) -> DataFrame:
     """(a, b) of nodes that agree in a band and whose lengths are within the limit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,8 +224,9 @@ def _candidates(blocks: DataFrame, most_edits: int, rate: float, parts: int) ->
         first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(sig))))
         # partners are those behind a node in its bucket, while they are not too long
-        scale = int(length.max()) + most_edits + 2
-        reach = np.searchsorted(group * scale + length, group * scale + length + most_edits, "right")
+        most = longest(length, most_edits, rate)
+        scale = int(most.max()) + 2
+        reach = np.searchsorted(group * scale + length, group * scale + most, "right")
         n = reach - np.arange(len(sig)) - 1
         total, at = np.cumsum(n), 0
         while at < len(sig):
@@ -221,9 +234,8 @@ def _candidates(blocks: DataFrame, most_edits: int, rate: float, parts: int) ->
             i, j = np.repeat(np.arange(at, to), n[at:to]), take_ranges(np.arange(at, to) + 1, n[at:to])
             limit = edit_limit(length[j], most_edits, rate)
             ok = length[j] - length[i] <= limit
-            if most_edits < 128:
-                i, j, limit = i[ok], j[ok], limit[ok]
-                ok = bag_bound(bag[i], bag[j]) <= limit
+            i, j, limit = i[ok], j[ok], limit[ok]
+            ok = np.where(limit < 128, bag_bound(bag[i], bag[j]), far_bag_bound(bag[i], bag[j])) <= limit
             a, b = np.minimum(node[i[ok]], node[j[ok]]), np.maximum(node[i[ok]], node[j[ok]])
             pair = np.unique(np.stack([a, b], axis=1), axis=0)
             if len(pair):
@@ -297,12 +309,51 @@ def bounded_distances(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, lim
     return out
 
 
-def _prepare(most_edits: int, rate: float):
+#: Edits up to which diagonals are followed; beyond it they cost more than the columns of far_distance.
+NEAR_EDITS = 32
+
+
+def far_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
+    """Edit distance of two texts, or limit + 1 where it is above it: Myers' bit vectors, a column of the table in one integer."""
+    short = min(len(a), len(b))
+    differ = np.flatnonzero(a[:short] != b[:short])
+    head = int(differ[0]) if len(differ) else short
+    a, b = a[head:], b[head:]
+    short -= head
+    differ = np.flatnonzero(a[::-1][:short] != b[::-1][:short])
+    tail = int(differ[0]) if len(differ) else short
+    a, b = a[: len(a) - tail], b[: len(b) - tail]
+    m, n = len(a), len(b)
+    if abs(m - n) > limit:
+        return limit + 1
+    if not m or not n:
+        return m + n
+    where = {int(c): int.from_bytes(np.packbits(a == c, bitorder="little").tobytes(), "little") for c in np.unique(a)}
+    full, top = (1 << m) - 1, m - 1
+    up, down, score = full, 0, m
+    for k, c in enumerate(b.tolist(), 1):
+        eq = where.get(c, 0)
+        v = eq | down
+        h = (((eq & up) + up) ^ up) | eq
+        right, left = down | (full & ~(h | up)), up & h
+        score += (right >> top & 1) - (left >> top & 1)
+        right, left = (right << 1 | 1) & full, left << 1 & full
+        up, down = left | (full & ~(v | right)), right & v
+        if not k % 256 and k < m:
+            # the distance of the first k characters of both can't fall by more than the difference of the lengths
+            low = (1 << k) - 1
+            if k + (up & low).bit_count() - (down & low).bit_count() - abs(m - n) > limit:
+                return limit + 1
+    return min(score, limit + 1)
+
+
+def _prepare(most_edits: int | None, rate: float):
     def prepare(texts: list[np.ndarray]):
         size = np.array([int(((t & 0xC0) != 0x80).sum()) for t in texts], np.int64)
 
         def compare(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             limits = edit_limit(np.maximum(size[i], size[j]), most_edits, rate)
+            near = np.minimum(limits, NEAR_EDITS)
             got = np.zeros(len(i), np.int64)
             at = 0
             while at < len(i):
@@ -310,8 +361,10 @@ def _prepare(most_edits: int, rate: float):
                 to = at + max(1, int(np.searchsorted(np.cumsum(size[i[at : at + 4096]] + size[j[at : at + 4096]]), 4 << 20, "right")))
                 used, index = np.unique(np.concatenate([i[at:to], j[at:to]]), return_inverse=True)
                 h = len(index) // 2
-                got[at:to] = bounded_distances([characters(texts[u])[0] for u in used], index[:h], index[h:], limits[at:to])
+                got[at:to] = bounded_distances([characters(texts[u])[0] for u in used], index[:h], index[h:], near[at:to])
                 at = to
+            for k in np.flatnonzero((got > near) & (near < limits)):
+                got[k] = far_distance(characters(texts[i[k]])[0], characters(texts[j[k]])[0], int(limits[k]))
             return got, got <= limits
 
         return compare
@@ -323,7 +376,7 @@ def _encode(b: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
     return node_keys(b, o), [b[i:j].tobytes() for i, j in zip(o[:-1], o[1:])]
 
 
-def edit_pairs(docs: DataFrame, most_edits: int = 24, rate: float = 0.05, samples: int = 12) -> DataFrame:
+def edit_pairs(docs: DataFrame, most_edits: int | None = None, rate: float = 0.05, samples: int = 12) -> DataFrame:
     """(doc_a, doc_b, edits) with doc_a < doc_b: equal texts linked to their least doc_id, and pairs of different texts within the limit, by their least doc_ids."""
     src, parts = docs.where("doc_id is not null and text is not null and text <> ''").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), shuffle_partitions(docs.sparkSession)
     blocks = checkpointed(_signatures(src, samples, most_edits, rate, parts))
