@@ -187,6 +187,23 @@ def test_edit_pairs_of_long_texts(spark):
     assert all(want.get(k) == v for k, v in got.items()) and len(got) >= 0.9 * len(want)
 
 
+def test_edit_pairs_with_edits_in_one_place(spark):
+    """Recall for insertions and deletions up to the limit at the head, the tail and both, from 30 to 6000 characters, and in a text that repeats one line."""
+    r = random.Random(17)
+    rows, kinds = [], []
+    for n in (30, 90, 250, 520, 1200, 6000):
+        for k in range(40):
+            t = " ".join(r.choices(WORDS, k=n // 3))[:n] if k < 39 else ("one line of it, again and again. " * n)[:n]
+            e = edit_fingerprint.edit_limit(n, None, 0.05)
+            new = "".join(r.choices("qxyz", k=e))
+            u, kind = ((new + t, "insert head"), (t[e:], "delete head"), (t + new, "insert tail"), (new[: e // 2] + t[: n - e // 2], "both"))[k % 4]
+            kinds.append((n, kind))
+            rows += [(2 * len(kinds), t), (2 * len(kinds) + 1, u)]
+    got = {x.doc_a for x in edit_fingerprint.edit_pairs(frame(spark, rows)).collect() if x.doc_b == x.doc_a + 1 and x.doc_a % 2 == 0}
+    found = {x: [2 * i + 2 in got for i, y in enumerate(kinds) if y == x] for x in kinds}
+    assert all(np.mean(v) >= 0.9 for v in found.values()), {k: np.mean(v) for k, v in found.items()}
+
+
 def test_far_distance():
     r = random.Random(13)
     for _ in range(200):

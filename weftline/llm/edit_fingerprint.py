@@ -1,18 +1,18 @@
 """Document fingerprints by randomised edit embedding.
 
-A shared random walk reads a document: at step t it writes the character c under its pointer and moves on by the
-random bit R[t, c], for three steps a character or until the text ends. Documents at a small edit distance have walks that
-fall apart at an edit and soon meet again, so edit distance becomes Hamming distance between what
-they write. A fingerprint has WALKS walks with BANDS bands each; a band samples `samples` places of a
-short stretch of the walk, and stretches are spread over the whole text. Documents of a length class that agree in a
-band are candidates, if their lengths and their counts of characters, in CLASSES classes, allow it; every candidate's edit distance is then worked out
+A shared random walk reads a document from each of its anchors: at step t it writes the character c under its pointer and
+moves on by the random bit R[t, c]. Anchors are content-defined: the grams of GRAM characters fall into BINS bins by their
+hash, and in each bin the gram with the least hash is the document's anchor (the first place, if the gram is repeated). So an
+edit moves only the anchors and walks that touch it, wherever it is and however long, at the head and the tail too. A fingerprint is
+`samples` places of one walk, with the anchor's gram. Documents that agree in a fingerprint are candidates, if the lengths of what is before and
+behind the anchors and the counts of characters, in CLASSES classes, allow it; every candidate's edit distance is then worked out
 exactly, up to the limit floor(rate * length of the longer text), in characters; most_edits, if it is given, caps the limit.
 
 Equal texts are one node, linked to the least doc_id among them at distance 0. The search is approximate:
 tests hold its recall against brute force at 0.9 or more.
 
-Classes of length grow by half from one to the next. A document whose length is within the limit of the class below is in
-both classes, so a pair within the limit always shares one. samples has to grow with the logarithm of the corpus: at 12
+Short texts have shorter walks, by KINDS of length. A document whose length is within the limit of the kind below has
+both, so a pair within the limit always shares one. samples has to grow with the logarithm of the corpus: at 12
 characters with about 4 bits each chance agreements are rare up to some 10^10 documents.
 
 Defined results: null ids, null texts and empty texts give nothing; rows that repeat are one document;
@@ -35,17 +35,19 @@ from ._graph import by_document, verified
 from ._spark import checkpointed, shuffle_partitions
 
 U64 = np.uint64
-WALKS, BANDS, STRIDE = 2, 12, 3
-GROWTH = 1.5
-#: Text walked side by side; longer batches waste fewer steps on the longest text.
-LANES_BYTES = 24 << 20
-_STEPS = 4096
+BINS, GRAM, STRIDE = 16, 6, 3
+#: Grams of a bin that are sorted, of long texts.
+KEPT = 20
+#: Lengths from which walks have twice the samples.
+KINDS = (48, 96, 192)
+#: Text whose fingerprints are sent in one row for each part.
+HELD_BYTES = 48 << 20
 
 
-@lru_cache(64)
-def _bits(walk: int, block: int) -> np.ndarray:
-    """R of 4096 steps and 256 characters."""
-    return np.random.default_rng([7919, walk, block]).integers(0, 2, (_STEPS, 256), np.uint8)
+@lru_cache(4)
+def _bits(steps: int) -> np.ndarray:
+    """R of so many steps and 256 characters."""
+    return np.random.default_rng(7919).integers(0, 2, (steps, 256), np.uint8)
 
 
 def edit_limit(length, most_edits: int | None, rate: float):
@@ -59,13 +61,8 @@ def longest(length: np.ndarray, most_edits: int | None, rate: float) -> np.ndarr
     return most if most_edits is None else np.minimum(most, length + most_edits)
 
 
-def length_class(length: np.ndarray) -> np.ndarray:
-    return np.floor(np.log(np.maximum(length, 1)) / np.log(GROWTH) + 1e-9).astype(np.int64)
-
-
-def stretches(cls: int) -> np.ndarray:
-    """First steps of a class's bands: spread over the two steps a character that a walk takes on the average."""
-    return np.linspace(0.03, 0.93, BANDS) * 2 * GROWTH**cls
+def kind(length: np.ndarray) -> np.ndarray:
+    return np.searchsorted(KINDS, length, "right")
 
 
 def fold(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,48 +71,57 @@ def fold(b: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ((points * 0x9E3779B1) >> 7 & 255).astype(np.uint8), np.searchsorted(at, offsets)
 
 
-def fingerprints(chars: np.ndarray, offsets: np.ndarray, cls: np.ndarray, samples: int) -> np.ndarray:
-    """(text, walk * BANDS + band) hashes of the texts under their length classes; many texts side by side."""
-    n = len(offsets) - 1
+def anchors(chars: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, place, hash of the gram) of the texts' anchors."""
     size = np.diff(offsets)
-    order = np.lexsort((size, cls))[::-1]  # the longest classes first
-    out = np.zeros((n, WALKS * BANDS), U64)
-    pad = 64
-    # each text is followed by places of its own, so that a walk may run on a little
-    text = np.zeros(int(size.sum()) + pad * n, np.uint8)
-    base = np.cumsum(size + pad) - size - pad
-    text[take_ranges(base, size)] = chars[take_ranges(offsets[:-1], size)]
-    kinds = cls[order]
-    edge = {int(c): (int(np.searchsorted(-kinds, -c)), int(np.searchsorted(-kinds, -c, "right"))) for c in np.unique(kinds)}
-    for walk in range(WALKS):
-        plan: dict[int, list[tuple[int, int, int]]] = {}
-        for c, (i, j) in edge.items():
-            for band, first in enumerate(stretches(c)):
-                # the second walk's stretches lie between those of the first
-                first = int(first + walk * 0.45 / BANDS * 2 * GROWTH**c)
-                for k in range(samples):
-                    plan.setdefault(first + k * STRIDE, []).append((i, j, band))
-        sig = np.zeros((BANDS, n), U64)
-        at, end = base[order].copy(), (base + size)[order]
-        last = {c: int(stretches(c)[-1] + 0.45 / BANDS * 2 * GROWTH**c) + samples * STRIDE for c in edge}
-        step, live = 0, n
-        todo = sorted(edge, reverse=True)
-        while todo:
-            bits = _bits(walk, step // _STEPS)
-            stop = min(_STEPS * (step // _STEPS + 1), step + pad // 2)
-            while step < stop:
-                c = text[at[:live]]
-                for i, j, band in plan.get(step, ()):
-                    with np.errstate(over="ignore"):
-                        sig[band, i:j] = sig[band, i:j] * U64(0x100000001B3) + c[i:j].astype(U64) + U64(1)
-                at[:live] += bits[step % _STEPS][c]
-                step += 1
-            np.minimum(at[:live], end[:live] + 1, out=at[:live])
-            # classes whose stretches are all behind are the last lanes
-            while todo and step > last[todo[-1]]:
-                live = edge[todo.pop()][0]
-        out[order, walk * BANDS : (walk + 1) * BANDS] = sig.T
-    return mix(out + np.arange(WALKS * BANDS, dtype=U64) * U64(0x9E3779B97F4A7C15) + (cls.astype(U64) << U64(40))[:, None])
+    text = np.repeat(np.arange(len(size)), size)
+    at, end = np.arange(len(chars)), offsets[1:][text]
+    p, inverse = powers(len(chars) + 1)
+    sums = np.zeros(len(chars) + 1, U64)
+    stop = np.minimum(at + GRAM, end)
+    with np.errstate(over="ignore"):
+        np.cumsum((chars.astype(U64) + U64(1)) * p[: len(chars)], out=sums[1:])
+        h = mix((sums[stop] - sums[:-1]) * inverse[: len(chars)])
+    low = h & U64((1 << 60) - 1)
+    # a long text's least grams are all among its small hashes
+    small = np.minimum(2.0**60, 2.0**60 * KEPT * BINS / np.maximum(size, 1)).astype(U64)
+    whole = (at + GRAM <= end) | (at == offsets[:-1][text])
+    bins = text * BINS + (h >> U64(60)).astype(np.int64)
+
+    def least(some: np.ndarray) -> np.ndarray:
+        some = some[np.lexsort((low[some], bins[some]))]
+        return some[np.diff(bins[some], prepend=-1) != 0]
+
+    some = least(np.flatnonzero(whole & (low <= small[text])))
+    # but not of one that repeats few grams
+    again = (np.bincount(text[some], minlength=len(size)) < BINS) & (size > KEPT * BINS)
+    if again.any():
+        some = np.concatenate([some[~again[text[some]]], least(np.flatnonzero(whole & again[text]))])
+    return text[some], some, h[some]
+
+
+def text_signatures(chars: np.ndarray, offsets: np.ndarray, samples: int, most_edits: int | None, rate: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, signature, place of the anchor in the text) of texts that can have a near one."""
+    n = np.diff(offsets)
+    text, at, h = anchors(chars, offsets)
+    can = edit_limit(longest(n, most_edits, rate), most_edits, rate) > 0
+    text, at, h = text[can[text]], at[can[text]], h[can[text]]
+    own, lower = kind(n)[text], kind(n - edit_limit(n, most_edits, rate))[text]
+    lanes = [(k, on) for k in range(len(KINDS) + 1) if len(on := np.flatnonzero((lower <= k) & (k <= own)))]
+    padded, bits = np.append(chars, np.uint8(0)), _bits(samples * STRIDE)
+    out = []
+    for k, on in lanes:
+        sig, x, end = h[on] + U64(k), at[on].copy(), offsets[1:][text[on]]
+        for step in range(max(1, samples >> (len(KINDS) - k)) * STRIDE):
+            c = np.where(x < end, padded[np.minimum(x, end)], 0)
+            if step % STRIDE == 0:
+                with np.errstate(over="ignore"):
+                    sig = sig * U64(0x100000001B3) + c.astype(U64) + U64(1)
+            x += bits[step][c]
+        out.append((text[on], mix(sig), at[on] - offsets[:-1][text[on]]))
+    if not out:
+        return text, h, at
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def node_keys(b: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -129,7 +135,7 @@ def node_keys(b: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 #: Classes of characters whose counts travel with a signature, mod 256.
 CLASSES = 16
-_BLOCK = "part int, signatures binary, nodes binary, lengths binary, bags binary"
+_BLOCK = "part int, signatures binary, nodes binary, lengths binary, places binary, bags binary"
 
 
 def bags(chars: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -151,76 +157,63 @@ def far_bag_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _signatures(docs: DataFrame, samples: int, most_edits: int | None, rate: float, parts: int) -> DataFrame:
-    """Blocks of (signature, node, length) by part of the signature; and rows of part -1: (ids, nodes)."""
+    """Blocks of (signature, node, length, place) by part of the signature; and rows of part -1: (ids, nodes)."""
 
     def rows(*columns: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(columns)], names=["part", "signatures", "nodes", "lengths", "bags"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(columns)], names=["part", "signatures", "nodes", "lengths", "places", "bags"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for rb, b, o in chunks(batches):
             some = np.diff(o) > 0
             nodes = node_keys(b, o)
-            yield rows([-1], [rb.column(0).to_numpy()[some].tobytes()], [nodes[some].tobytes()], [None], [None])
+            yield rows([-1], [rb.column(0).to_numpy()[some].tobytes()], [nodes[some].tobytes()], [None], [None], [None])
             c, at = fold(b, o)
             # equal texts of a chunk walk once
             _, first = np.unique(nodes, return_index=True)
             first = first[some[first]]
             n = np.diff(at)[first]
-            held.append((c[take_ranges(at[:-1][first], n)], n, nodes[first]))
-            size += len(c)
-            if size > LANES_BYTES:
+            c, at = c[take_ranges(at[:-1][first], n)], np.concatenate([[0], np.cumsum(n)])
+            own, sig, place = text_signatures(c, at, samples, most_edits, rate)
+            held.append((sig, nodes[first][own], n[own].astype(np.int32), place.astype(np.int32), bags(c, at)[own]))
+            size += len(b)
+            if size > HELD_BYTES:
                 yield from blocks(held)
                 held, size = [], 0
-        if size:
+        if held:
             yield from blocks(held)
 
     def blocks(held: list) -> Iterator[pa.RecordBatch]:
-        chars, n, nodes = (np.concatenate(x) for x in zip(*held))
-        _, first = np.unique(nodes, return_index=True)
-        offsets = np.concatenate([[0], np.cumsum(n)])
-        chars, n, nodes = chars[take_ranges(offsets[:-1][first], n[first])], n[first], nodes[first]
-        offsets = np.concatenate([[0], np.cumsum(n)])
-        bag = bags(chars, offsets)
-        cls = length_class(n)
-        lower = length_class(n - edit_limit(n, most_edits, rate))
-        also = np.flatnonzero(lower != cls)
-        sig = [fingerprints(chars, offsets, cls, samples)]
-        if len(also):
-            m = n[also]
-            sig.append(fingerprints(chars[take_ranges(offsets[:-1][also], m)], np.concatenate([[0], np.cumsum(m)]), lower[also], samples))
-        own = np.concatenate([np.arange(len(n)), also])
-        sig = np.concatenate(sig)
-        own, sig = np.repeat(own, sig.shape[1]), sig.ravel()
-        part = (sig % U64(parts)).astype(np.int64)
+        columns = [np.concatenate(x) for x in zip(*held)]
+        part = (columns[0] % U64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
-        own, sig, part = own[order], sig[order], part[order]
-        edges = np.searchsorted(part, np.arange(parts + 1))
+        columns, edges = [x[order] for x in columns], np.searchsorted(part[order], np.arange(parts + 1))
         for k in np.flatnonzero(np.diff(edges)):
-            x = slice(edges[k], edges[k + 1])
-            yield rows([int(k)], [sig[x].tobytes()], [nodes[own[x]].tobytes()], [n[own[x]].astype(np.int32).tobytes()], [bag[own[x]].tobytes()])
+            yield rows([int(k)], *([x[edges[k] : edges[k + 1]].tobytes()] for x in columns))
 
     return docs.mapInArrow(run, _BLOCK)
 
 
 def _candidates(blocks: DataFrame, most_edits: int | None, rate: float, parts: int) -> DataFrame:
-    """(a, b) of nodes that agree in a band and whose lengths are within the limit."""
+    """(a, b) of nodes that agree in a fingerprint, around which the lengths are within the limit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: list[list[np.ndarray]] = [[], [], [], []]
+        got: list[list[np.ndarray]] = [[], [], [], [], []]
         for rb in batches:
             for i in range(rb.num_rows):
-                for g, k, kind in zip(got, (1, 2, 3, 4), (U64, np.int64, np.int32, np.uint8)):
+                for g, k, kind in zip(got, (1, 2, 3, 4, 5), (U64, np.int64, np.int32, np.int32, np.uint8)):
                     g.append(np.frombuffer(rb.column(k)[i].as_buffer(), kind))
         if not got[0]:
             return
-        sig, node, length, bag = (np.concatenate(g) for g in got)
+        sig, node, length, place, bag = (np.concatenate(g) for g in got)
         bag = bag.reshape(-1, CLASSES)
         order = np.lexsort((node, length, sig))
-        sig, node, length, bag = sig[order], node[order], length[order].astype(np.int64), bag[order]
         new = np.ones(len(sig), bool)
-        new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
-        sig, node, length, bag = sig[new], node[new], length[new], bag[new]
+        new[1:] = (sig[order][1:] != sig[order][:-1]) | (node[order][1:] != node[order][:-1])
+        order = order[new]
+        sig, node, length, place, bag = sig[order], node[order], length[order].astype(np.int64), place[order].astype(np.int64), bag[order]
+        if not len(sig):
+            return
         first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(sig))))
         # partners are those behind a node in its bucket, while they are not too long
@@ -233,7 +226,9 @@ def _candidates(blocks: DataFrame, most_edits: int | None, rate: float, parts: i
             to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 20), "right")))
             i, j = np.repeat(np.arange(at, to), n[at:to]), take_ranges(np.arange(at, to) + 1, n[at:to])
             limit = edit_limit(length[j], most_edits, rate)
-            ok = length[j] - length[i] <= limit
+            # what is before the anchors differs by so many characters, and what is behind them
+            before, longer = place[j] - place[i], length[j] - length[i]
+            ok = np.abs(before) + np.abs(longer - before) <= limit
             i, j, limit = i[ok], j[ok], limit[ok]
             ok = np.where(limit < 128, bag_bound(bag[i], bag[j]), far_bag_bound(bag[i], bag[j])) <= limit
             a, b = np.minimum(node[i[ok]], node[j[ok]]), np.maximum(node[i[ok]], node[j[ok]])
@@ -310,7 +305,7 @@ def bounded_distances(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, lim
 
 
 #: Edits up to which diagonals are followed; beyond it they cost more than the columns of far_distance.
-NEAR_EDITS = 32
+NEAR_EDITS = 8
 
 
 def far_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
@@ -329,21 +324,25 @@ def far_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     if not m or not n:
         return m + n
     where = {int(c): int.from_bytes(np.packbits(a == c, bitorder="little").tobytes(), "little") for c in np.unique(a)}
-    full, top = (1 << m) - 1, m - 1
-    up, down, score = full, 0, m
-    for k, c in enumerate(b.tolist(), 1):
-        eq = where.get(c, 0)
-        v = eq | down
-        h = (((eq & up) + up) ^ up) | eq
-        right, left = down | (full & ~(h | up)), up & h
-        score += (right >> top & 1) - (left >> top & 1)
-        right, left = (right << 1 | 1) & full, left << 1 & full
-        up, down = left | (full & ~(v | right)), right & v
-        if not k % 256 and k < m:
-            # the distance of the first k characters of both can't fall by more than the difference of the lengths
-            low = (1 << k) - 1
-            if k + (up & low).bit_count() - (down & low).bit_count() - abs(m - n) > limit:
-                return limit + 1
+    # of a column only the rows within the limit of the diagonal; what is outside counts as too much
+    lo = hi = up = down = score = 0
+    chars = b.tolist()
+    for k in range(0, n, 256):
+        was, old, lo, hi = lo, hi, max(0, k - limit), min(m, k + 256 + limit)
+        # the distance of the first k characters of both can't fall by more than the difference of the lengths
+        if k and k < m and score - (up >> (k - was)).bit_count() + (down >> (k - was)).bit_count() - abs(m - n) > limit:
+            return limit + 1
+        up, down, score = (up | (1 << (hi - was)) - (1 << (old - was))) >> (lo - was), down >> (lo - was), score + hi - old
+        full, top = (1 << (hi - lo)) - 1, hi - lo - 1
+        now = {c: w >> lo & full for c, w in where.items()}
+        for c in chars[k : k + 256]:
+            eq = now.get(c, 0)
+            v = eq | down
+            h = (((eq & up) + up) ^ up) | eq
+            right, left = down | (full & ~(h | up)), up & h
+            score += (right >> top & 1) - (left >> top & 1)
+            right, left = (right << 1 | 1) & full, left << 1 & full
+            up, down = left | (full & ~(v | right)), right & v
     return min(score, limit + 1)
 
 
