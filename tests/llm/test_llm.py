@@ -246,6 +246,13 @@ def test_html():
     assert html_density.extract("just text &amp; more")[0] == "just text & more"
 
 
+@pytest.mark.parametrize("inside", ["for(i=0;i<n;i++){}", "a='<!-- not closed'", "if(a<b && c>d) x=\"it's\"", "x='</p><div>'", "s='</scripted>'"])
+@pytest.mark.parametrize("end", ["</script>", "</SCRIPT >"])
+def test_html_raw_elements_end_at_their_own_tag(inside, end):
+    assert html_density.extract(f"<body><p>before</p><script>{inside}{end}<p>after it</p></body>")[0].split() == ["before", "after", "it"]
+    assert html_density.extract(f"<body><p>before</p><script>{inside}{end}<p>middle</p><script>{inside}{end}tail</body>")[0].split()[-1] == "tail"
+
+
 def test_html_pages_awkward(spark):
     p = spark.createDataFrame([(1, "u", None), (None, None, "<p>x"), (2, "u", ""), (2, "u", "<div>" * 3000)], "page_id long, url string, html string")
     assert html_density.extract_pages(p).count() == 4 and html_density.extract_pages(p.where("false")).count() == 0

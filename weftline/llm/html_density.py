@@ -32,6 +32,7 @@ from ._batch import chunks
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S)
 _RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg"}
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])[^>]*>?", re.I) for t in _RAW}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 _BLOCK = set("address article aside blockquote body br caption dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul".split())
 _CLOSES = {t: {"p"} for t in "address article aside blockquote div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()}
@@ -54,12 +55,8 @@ class Node:
 
 def parse(html: str) -> list[Node]:
     """Elements in document order; 0 is body. A node's parts are strings and the indices of its children."""
-    nodes, stack, at, raw, in_head = [Node("body", -1)], [0], 0, "", False
-    for m in _TOKEN.finditer(html):
-        if raw:
-            if m[2] and m[1] and m[2].lower() == raw:
-                raw, at = "", m.end()
-            continue
+    nodes, stack, at, in_head = [Node("body", -1)], [0], 0, False
+    while m := _TOKEN.search(html, at):
         if m.start() > at and not in_head and (s := _SPACE.sub(" ", unescape(html[at : m.start()]))) and s != " ":
             nodes[stack[-1]].parts.append(s)
         elif m.start() > at and not in_head:
@@ -84,8 +81,10 @@ def parse(html: str) -> list[Node]:
                     break
             continue
         if tag in _RAW:
+            # what is inside is no markup: on to its own end tag, or all the rest if there is none
             if not m[3].endswith("/"):
-                raw = tag
+                end = _RAW_END[tag].search(html, at)
+                at = end.end() if end else len(html)
             continue
         closes = _CLOSES.get(tag)
         if closes:
@@ -106,7 +105,7 @@ def parse(html: str) -> list[Node]:
         nodes[node.parent].parts.append(i)
         if tag not in _VOID and not m[3].endswith("/"):
             stack.append(i)
-    if not raw and at < len(html) and not in_head:
+    if at < len(html) and not in_head:
         nodes[stack[-1]].parts.append(_SPACE.sub(" ", unescape(html[at:])))
     return nodes
 
