@@ -1,6 +1,7 @@
 """Operators of the corpus engine on literal rows."""
 
 import gzip
+import inspect
 import os
 
 import duckdb
@@ -144,6 +145,22 @@ def test_sitemap(spark):
     assert [r.url for r in sitemap.robots_sitemaps(robots).collect()] == ["http://x/s.xml"]
 
 
+def test_crawl_and_sitemaps_have_no_silent_end(spark):
+    keep = lambda name, k, df: df.localCheckpoint()
+    pages = [(f"https://x.de/{i}", f"https://x.de/{i}", 200, "text/html", f'<a href="/{i + 1}">n</a>'.encode()) for i in range(4)]
+    table = spark.createDataFrame(pages, "url string, final_url string, status int, content_type string, data binary").selectExpr("*", "cast(null as string) etag", "cast(null as string) last_modified", "cast(null as string) error")
+    seeds = spark.createDataFrame([("https://x.de/0", "x")], "url string, site string")
+    with pytest.raises(RuntimeError, match="left after 2 waves"):
+        crawl.crawl(seeds, lambda c: table.join(c.select("url"), "url"), keep, most_waves=2)
+    assert inspect.signature(crawl.crawl).parameters["most_waves"].default is None
+    levels = [(f"http://x/{i}.xml", f"<sitemap><loc>http://x/{i + 1}.xml</loc></sitemap><url><loc>http://x/p{i}</loc></url>".encode()) for i in range(24)]
+    data = spark.createDataFrame(levels, "url string, data binary")
+    fetch = lambda todo: data.join(todo, "url")
+    assert sitemap.discover(spark, ["http://x/0.xml"], fetch, keep).count() == 24
+    with pytest.raises(RuntimeError, match="left after 2 levels"):
+        sitemap.discover(spark, ["http://x/0.xml"], fetch, keep, most=2)
+
+
 def test_taxonomy_tree_and_findings(spark):
     c = one(spark, taxonomy.classify(F.col("u"), F.col("t"), F.lit(None).cast("string"), catalog.RULES), u="https://www.example.com/News/x_y", t="our code")
     assert (c.campus, c.department, c.program, c.department_source) == ("north-annex", "tech", None, "keyword")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -91,19 +92,21 @@ def admit(candidates: DataFrame, per_site: int | None = None, per_host: int | No
     return c
 
 
-def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], save: Callable[[str, int, DataFrame], DataFrame], per_site: int | None = None, per_host: int | None = None, most_waves: int = 100) -> DataFrame:
+def crawl(seeds: DataFrame, fetch: Callable[[DataFrame], DataFrame], save: Callable[[str, int, DataFrame], DataFrame], per_site: int | None = None, per_host: int | None = None, most_waves: int | None = None) -> DataFrame:
     """Breadth-first waves until a wave is empty; returns every URL that was reached, with its outcome.
 
     fetch turns (url, site, depth) into fetch results; save(name, wave, df) writes a table and reads it
-    again, so every wave starts from stored rows and no lineage grows.
+    again, so every wave starts from stored rows and no lineage grows. If URLs are left after most_waves, it raises.
     """
     wave = save("wave", 0, seeds.select("url", "site", F.lit(0).alias("depth"), F.lit(None).cast("string").alias("discovered_from")).dropDuplicates(["url"]))
     seen, done, used = wave.select("url"), None, None
     empty = "url string, content_sha256 string, present boolean, etag string, last_modified string"
-    for k in range(most_waves):
+    for k in count():
         chosen = save("chosen", k, admit(wave.where(~urls.is_trap(F.col("url"))), per_site, per_host, used))
         if chosen.isEmpty():
             break
+        if k == most_waves:
+            raise RuntimeError(f"URLs are left after {k} waves")
         got = save("fetched", k, outcomes(fetch(chosen), seeds.sparkSession.createDataFrame([], empty)).join(chosen.select("url", "site", "depth", "discovered_from"), "url"))
         done = got if done is None else done.unionByName(got)
         n = chosen.groupBy("site", "host").agg(F.count("*").alias("n"))

@@ -6,6 +6,7 @@ import gzip
 import html
 import zlib
 from collections.abc import Callable
+from itertools import count
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -56,16 +57,18 @@ def robots_sitemaps(text: DataFrame, column: str = "text") -> DataFrame:
     return line.select(F.trim(F.regexp_extract("line", r"(?i)^\s*sitemap\s*:(.*)$", 1)).alias("url")).where("url <> ''")
 
 
-def discover(spark: SparkSession, seeds: list[str], fetch: Callable[[DataFrame], DataFrame], save: Callable[[str, int, DataFrame], DataFrame], most: int = 20) -> DataFrame:
-    """(url, lastmod) of all sitemaps reached from seeds through their indexes, each once. fetch: (url) to (url, data)."""
+def discover(spark: SparkSession, seeds: list[str], fetch: Callable[[DataFrame], DataFrame], save: Callable[[str, int, DataFrame], DataFrame], most: int | None = None) -> DataFrame:
+    """(url, lastmod) of all sitemaps reached from seeds through their indexes, each once. fetch: (url) to (url, data). If indexes are left after `most` levels, it raises."""
     todo = spark.createDataFrame([(s,) for s in dict.fromkeys(seeds)], "url string")
     seen, found = todo, []
-    for k in range(most):
+    for k in count():
         xml = save("sitemaps", k, fetch(todo).withColumn("xml", decode("data")))
         found.append(entries(xml).withColumn("wave", F.lit(k)))
         todo = save("todo", k, nested(xml).distinct().join(seen, "url", "left_anti"))
         if todo.isEmpty():
             break
+        if k + 1 == most:
+            raise RuntimeError(f"sitemaps are left after {k + 1} levels")
         seen = seen.unionByName(todo)
     out = found[0]
     for f in found[1:]:
