@@ -16,13 +16,14 @@ prefix is mostly of frequent grams therefore takes its LEAST seeds of least hash
 have as many of them in common as they have to share, the part with the least one alone reports the pair;
 all other pairs are counted over all parts.
 
-Candidates are verified exactly, by components of the candidate graph, each of which meets in one task.
-Equal sets are one node: its documents are linked to the least doc_id among them with similarity 1, and
-only that one is joined. Every other pair of the full join follows from these rows.
-
-Defined results: null ids, null texts and texts without words give nothing; rows that repeat are the same
-document, not a pair; rows of one doc_id with different texts are several nodes whose pairs are left out;
-an empty table gives an empty result. Only doc_id and text are read.
+Candidates are verified exactly, by components of the candidate graph; a large component is cut into pairs of blocks.
+Equal sets are one node, of which one content is compared. A link is a pair of documents whose sets reach the
+threshold; n_links counts a document's links, with all copies, and the class is what links connect. So the result has one
+row for each document with a link, however many pairs a group of near copies has, and every pair is counted.
+
+Defined results: null ids, null texts and texts without words give nothing, nor do documents without a link; rows that repeat are
+the same document; a doc_id with different texts counts the links of each of them and has the least of their classes;
+an empty table gives an empty result. Ids have to be integers. Only doc_id and text are read, so other columns may have any name.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._batch import FOLDED, Words, chunks, mix, ngrams, take_ranges
-from ._graph import by_document, components, verified
+from ._graph import by_document, sized, verified
 from ._spark import anti_join, checkpointed, shuffle_partitions
 
 U64 = np.uint64
@@ -377,21 +378,19 @@ def _encode(n: int):
 
 
 def jaccard_join(docs: DataFrame, n: int = 4, threshold: float = 0.5) -> DataFrame:
-    """(doc_a, doc_b, jaccard) with doc_a < doc_b: equal sets linked to their least doc_id, and all pairs of different sets that reach the threshold, by their least doc_ids."""
+    """(doc_id, class_id, n_links) of every document that another one reaches the threshold with."""
     spark: SparkSession = docs.sparkSession
     src, parts = _source(docs), shuffle_partitions(spark)
     rows = survey(src, n)
     sketch = spark.sparkContext.broadcast(sketch_of(rows))
-    nodes = nodes_of(rows)
+    nodes = checkpointed(nodes_of(rows).distinct())
+    each = sized(nodes)
     candidates = checkpointed(_candidates(_postings(src, n, threshold, sketch, parts), threshold, parts))
-    pairs = verified(src, nodes, candidates, _encode(n), _prepare(threshold), parts).withColumnRenamed("value", "jaccard")
-    return by_document(nodes, pairs, "jaccard", 1.0, F.max)
+    return by_document(nodes, each, checkpointed(verified(src, each, candidates, _encode(n), _prepare(threshold), parts)))
 
 
 def deduplicated(docs: DataFrame, n: int = 4, threshold: float = 0.5) -> DataFrame:
-    """docs with one document of each group of near copies: the one with the least doc_id. Rows with a null id or text stay; of rows with one doc_id one stays."""
-    pairs = jaccard_join(docs, n, threshold)
-    groups = components(pairs.select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")))
-    lost = groups.where("node <> component").select(F.col("node").alias("doc_id"))
+    """docs with one document of each class: the one with the least doc_id. Rows with a null id or text stay; of rows with one doc_id one stays."""
+    lost = jaccard_join(docs, n, threshold).where("doc_id <> class_id").select("doc_id")
     known = docs.where("doc_id is not null and text is not null").dropDuplicates(["doc_id"])
     return anti_join(known, lost, ["doc_id"]).unionByName(docs.where("doc_id is null or text is null"))
