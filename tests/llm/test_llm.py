@@ -13,7 +13,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from weftline.llm import edit_fingerprint, fm_substring, host_rules, html_density, jaccard_join, mil_classifier, mixing, pii, queries, sp_viterbi, suffix_family
+from weftline.llm import _graph, edit_fingerprint, fm_substring, host_rules, html_density, jaccard_join, mil_classifier, mixing, pii, queries, sp_viterbi, suffix_family
 from weftline.llm._batch import strings
 
 SF = "/root/testdata/sf0.001"
@@ -63,10 +63,10 @@ RUNS = {
     "dedup": jaccard_join.deduplicated,
     "mil": lambda d: mil_classifier.classify(d, d.sparkSession.createDataFrame([], "doc_id long, quality int, toxic int")),
     "pieces": lambda d: sp_viterbi.encode_documents(d, queries.PIECE_MODEL),
-    "edit": edit_fingerprint.edit_pairs,
+    "edit": edit_fingerprint.edit_links,
 }
 #: Rows of awkward(): what each docstring defines.
-COUNTS = {"pii": 8, "fm": 0, "host": 8, "mix": 8, "family": 0, "jaccard": 1, "dedup": 6, "mil": 8, "pieces": 8, "edit": 1}
+COUNTS = {"pii": 8, "fm": 0, "host": 8, "mix": 8, "family": 0, "jaccard": 2, "dedup": 6, "mil": 8, "pieces": 8, "edit": 2}
 
 
 @pytest.mark.parametrize("name", RUNS)
@@ -107,28 +107,55 @@ def test_passages(spark, corpus, find, least):
     assert got == passages(corpus, least)
 
 
+def summary(texts, links):
+    """doc_id: (class_id, n_links) of the documents (id: key of its text) with a link, where links are the pairs of different keys."""
+    owners, near = {}, {}
+    for i, k in texts.items():
+        owners.setdefault(k, set()).add(i)
+    for a, b in links:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+    out, seen = {}, set()
+    for k in owners:
+        if k in seen:
+            continue
+        todo, group = [k], {k}
+        while todo:
+            for x in near.get(todo.pop(), ()):
+                if x not in group:
+                    group.add(x)
+                    todo.append(x)
+        seen |= group
+        least = min(min(owners[x]) for x in group)
+        for x in group:
+            n = len(owners[x]) - 1 + sum(len(owners[z]) for z in near.get(x, ()))
+            out |= {i: (least, n) for i in owners[x] if n}
+    return out
+
+
+def by_id(df):
+    rows = df.collect()
+    assert len({r.doc_id for r in rows}) == len(rows)
+    return {r.doc_id: (r.class_id, r.n_links) for r in rows}
+
+
+def jaccard_links(texts, threshold=0.5):
+    """Brute force: all pairs of sets of 4-grams."""
+    sets = {i: frozenset(tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3))) for i, t in texts.items() if (w := (t or "").split())}
+    every = list(set(sets.values()))
+    return summary(sets, [(s, u) for x, s in enumerate(every) for u in every[x + 1 :] if len(s & u) / len(s | u) >= threshold])
+
+
 def test_jaccard(spark, corpus):
-    rows = [(i, t) for i, t in corpus if i is not None]
-    got = {(r.doc_a, r.doc_b): r.jaccard for r in jaccard_join.jaccard_join(frame(spark, corpus), 4, 0.5).collect()}
-    sets, rep = {}, {}
-    for i, t in rows:
-        w = (t or "").split()
-        if w:
-            s = frozenset(tuple(w[k : k + 4]) for k in range(max(1, len(w) - 3)))
-            sets[i], rep[s] = s, min(rep.get(s, i), i)
-    want = {(rep[s], i): 1.0 for i, s in sets.items() if rep[s] != i}
-    nodes = sorted((i, s) for s, i in rep.items())
-    for x, (a, s) in enumerate(nodes):
-        for b, u in nodes[x + 1 :]:
-            if (q := len(s & u) / len(s | u)) >= 0.5:
-                want[(a, b)] = q
-    assert got.keys() == want.keys() and all(abs(got[k] - v) < 1e-9 for k, v in want.items())
+    assert by_id(jaccard_join.jaccard_join(frame(spark, corpus), 4, 0.5)) == jaccard_links({i: t for i, t in corpus if i is not None})
     kept = jaccard_join.deduplicated(frame(spark, corpus)).where("doc_id = 0 or doc_id = 1 or doc_id = 1000").collect()
     assert [r.doc_id for r in kept] == [0]
 
 
-def test_crowded_groups_find_every_pair(spark):
-    """A group so large that only one part reports its pairs."""
+@pytest.mark.parametrize("block", [20, 1000])
+def test_crowded_groups_find_every_pair(spark, block, monkeypatch):
+    """A group so large that only one part reports its pairs; whole, and in blocks."""
+    monkeypatch.setattr(_graph, "BLOCK_NODES", block)
     r = random.Random(5)
     base = r.choices(WORDS, k=120)
     rows = []
@@ -137,9 +164,8 @@ def test_crowded_groups_find_every_pair(spark):
         for _ in range(4):
             w[r.randrange(120)] = f"own{i}"
         rows.append((i, " ".join(w)))
-    got = {(x.doc_a, x.doc_b) for x in jaccard_join.jaccard_join(frame(spark, rows)).collect()}
-    sets = [frozenset(tuple(w[k : k + 4]) for k in range(117)) for w in (t.split() for _, t in rows)]
-    assert got == {(a, b) for a in range(160) for b in range(a + 1, 160) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.5}
+    rows += [(200 + i, rows[i][1]) for i in range(5)]
+    assert by_id(jaccard_join.jaccard_join(frame(spark, rows))) == jaccard_links(dict(rows))
 
 
 def distance(a, b):
@@ -151,26 +177,46 @@ def distance(a, b):
     return row[-1]
 
 
-def test_edit_pairs(spark):
-    r = random.Random(7)
-    rows = []
-    for i in range(60):
-        t = " ".join(r.choices(WORDS, k=60)) + " é"
-        rows.append((2 * i, t))
-        s = list(t)
-        for _ in range(r.randint(0, 8)):
-            k = r.randrange(len(s))
-            s[k : k + r.randint(0, 1)] = r.choice(["", "x", "é"])
-        rows.append((2 * i + 1, "".join(s)))
-    got = {(x.doc_a, x.doc_b): x.edits for x in edit_fingerprint.edit_pairs(frame(spark, rows)).collect()}
-    want = {(a, a + 1): d for a in range(0, 120, 2) if (d := distance(rows[a][1], rows[a + 1][1])) <= edit_fingerprint.edit_limit(max(len(rows[a][1]), len(rows[a + 1][1])), 24, 0.05)}
-    assert all(want.get(k) == v for k, v in got.items())
-    assert len(got) >= 0.9 * len(want)
-    x, y = (np.array([edit_fingerprint.bags(c.astype(np.uint8), np.array([0, len(c)]))[0] for c in side]) for side in zip(*((np.frombuffer(rows[a][1].encode()[:200], np.uint8), np.frombuffer(rows[a + 1][1].encode()[:200], np.uint8)) for a in range(0, 20, 2))))
-    assert all(edit_fingerprint.bag_bound(x, y) <= [distance(rows[a][1].encode()[:200], rows[a + 1][1].encode()[:200]) for a in range(0, 20, 2)])
+def edit_links(texts):
+    """Brute force: all pairs of texts."""
+    every = sorted({t for t in texts.values() if t}, key=len)
+    links = []
+    for x, a in enumerate(every):
+        for b in every[x + 1 :]:
+            limit = int(0.05 * len(b) + 1e-9)
+            if len(b) - len(a) <= limit and edit_fingerprint.far_distance(np.array([ord(c) for c in a], np.uint32), np.array([ord(c) for c in b], np.uint32), limit) <= limit:
+                links.append((a, b))
+    return summary({i: t for i, t in texts.items() if t}, links)
+
 
+def edited(r, t, edits):
+    s = list(t)
+    for _ in range(edits):
+        k = r.randrange(len(s) + 1)
+        s[k : k + r.randint(0, 1)] = r.choice(["", "x", "é"])
+    return "".join(s)
 
-def test_edit_pairs_of_long_texts(spark):
+
+@pytest.mark.parametrize("block", [3000, 4 << 20])
+def test_edit_links(spark, block, monkeypatch):
+    """Against all pairs: several classes of length, edits up to the limit and beyond it, copies, and groups of many near copies; whole groups, and groups in blocks."""
+    monkeypatch.setattr(edit_fingerprint, "BLOCK_BYTES", block)
+    r = random.Random(7)
+    rows = []
+    for n in (25, 60, 150, 210, 400, 900, 2500):
+        for _ in range(14):
+            t = " ".join(r.choices(WORDS, k=n // 3))[:n]
+            rows += [(len(rows) + k, x) for k, x in enumerate((t, edited(r, t, r.randint(0, n // 20)), edited(r, t, r.randint(0, n // 10))))]
+    base = " ".join(r.choices(WORDS, k=200))
+    rows += [(1000 + i, edited(r, base, r.randint(0, 40))) for i in range(60)] + [(2000 + i, base) for i in range(3)]
+    got, want = by_id(edit_fingerprint.edit_links(frame(spark, rows))), edit_links(dict(rows))
+    # what is found is true; few links are missed
+    assert all(got[i][1] <= want[i][1] for i in got)
+    assert sum(n for _, n in got.values()) >= 0.95 * sum(n for _, n in want.values()) and len(got) >= 0.9 * len(want)
+    assert len({c for c, _ in got.values()} ^ {c for c, _ in want.values()}) <= 0.1 * len(want)
+
+
+def test_edit_links_of_long_texts(spark):
     """The limit grows with the text: 60 scattered edits in some 2000 characters are within 5%, 150 are not."""
     r = random.Random(11)
     rows = []
@@ -181,13 +227,11 @@ def test_edit_pairs_of_long_texts(spark):
         for k in r.sample(range(len(s)), 60 if i < 10 else 150):
             s[k] = "x"
         rows.append((2 * i + 1, "".join(s)))
-    got = {(x.doc_a, x.doc_b): x.edits for x in edit_fingerprint.edit_pairs(frame(spark, rows)).collect()}
-    want = {(a, a + 1): d for a in range(0, 24, 2) if (d := distance(rows[a][1], rows[a + 1][1])) <= 0.05 * max(len(rows[a][1]), len(rows[a + 1][1]))}
-    assert len(want) == 10 and min(want.values()) > 24
-    assert all(want.get(k) == v for k, v in got.items()) and len(got) >= 0.9 * len(want)
+    got, want = by_id(edit_fingerprint.edit_links(frame(spark, rows))), edit_links(dict(rows))
+    assert len(want) == 20 and all(want.get(k) == v for k, v in got.items()) and len(got) >= 0.9 * len(want)
 
 
-def test_edit_pairs_with_edits_in_one_place(spark):
+def test_edit_links_with_edits_in_one_place(spark):
     """Recall for insertions and deletions up to the limit at the head, the tail and both, from 30 to 6000 characters, and in a text that repeats one line."""
     r = random.Random(17)
     rows, kinds = [], []
@@ -199,11 +243,47 @@ def test_edit_pairs_with_edits_in_one_place(spark):
             u, kind = ((new + t, "insert head"), (t[e:], "delete head"), (t + new, "insert tail"), (new[: e // 2] + t[: n - e // 2], "both"))[k % 4]
             kinds.append((n, kind))
             rows += [(2 * len(kinds), t), (2 * len(kinds) + 1, u)]
-    got = {x.doc_a for x in edit_fingerprint.edit_pairs(frame(spark, rows)).collect() if x.doc_b == x.doc_a + 1 and x.doc_a % 2 == 0}
-    found = {x: [2 * i + 2 in got for i, y in enumerate(kinds) if y == x] for x in kinds}
+    got = by_id(edit_fingerprint.edit_links(frame(spark, rows)))
+    found = {x: [got.get(2 * i + 2, (0, 0))[0] == got.get(2 * i + 3, (1, 0))[0] for i, y in enumerate(kinds) if y == x] for x in kinds}
     assert all(np.mean(v) >= 0.9 for v in found.values()), {k: np.mean(v) for k, v in found.items()}
 
 
+@pytest.mark.parametrize("n", [300, 3000, 12_000])
+def test_every_part_of_a_text_counts(n):
+    """Anchors lie anywhere: a change of any twentieth of a text, the last one too, changes about as many fingerprints."""
+    r = random.Random(23)
+    changed = np.zeros(20)
+    for _ in range(40):
+        a = "".join(r.choices("abcdefghij ", k=n))
+        texts = [a] + [a[: n * k // 20] + "".join(r.choices("klmnop", k=n // 20)) + a[n * k // 20 + n // 20 :] for k in range(20)]
+        prints = edit_fingerprint.text_signatures(*edit_fingerprint.fold(*strings(pa.array(texts))), 12, None, 0.05)[3][:, 0]
+        changed += (prints[1:] != prints[:1]).any(axis=1)
+    assert changed.min() >= 12, changed
+
+
+def test_band_distances():
+    r = random.Random(29)
+    texts = []
+    for n in (0, 1, 63, 64, 65, 300, 700):
+        for _ in range(4):
+            t = [r.randrange(30) for _ in range(n)]
+            texts.append(t)
+            for k in (1, 6, 25):
+                u = list(t)
+                for _ in range(k):
+                    p = r.randrange(len(u) + 1)
+                    u[p : p + r.randint(0, 3)] = [r.randrange(30) for _ in range(r.randint(0, 3))]
+                texts.append(u)
+    texts = [np.array(t, np.uint32) for t in texts]
+    i = np.array([r.randrange(len(texts)) for _ in range(600)])
+    j = np.array([x // 4 * 4 + r.randrange(4) if r.random() < 0.8 else r.randrange(len(texts)) for x in i])
+    limits = np.array([r.choice([0, 3, 20, 64, 120]) for _ in i])
+    want = [edit_fingerprint.far_distance(texts[a], texts[b], int(n)) for a, b, n in zip(i, j, limits)]
+    assert edit_fingerprint.band_distances(texts, i, j, limits).tolist() == want
+    assert edit_fingerprint.within(texts, i, j, limits).tolist() == want
+    assert edit_fingerprint.decided(texts, i, j, limits, np.ones(len(i))).tolist() == [d <= n for d, n in zip(want, limits)]
+
+
 def test_far_distance():
     r = random.Random(13)
     for _ in range(200):

@@ -3,21 +3,29 @@
 A shared random walk reads a document from each of its anchors: at step t it writes the character c under its pointer and
 moves on by the random bit R[t, c]. Anchors are content-defined: the grams of GRAM characters fall into BINS bins by their
 hash, and in each bin the gram with the least hash is the document's anchor (the first place, if the gram is repeated). So an
-edit moves only the anchors and walks that touch it, wherever it is and however long, at the head and the tail too. A fingerprint is
-`samples` places of one walk, with the anchor's gram. Documents that agree in a fingerprint are candidates, if the lengths of what is before and
-behind the anchors and the counts of characters, in CLASSES classes, allow it; every candidate's edit distance is then worked out
-exactly, up to the limit floor(rate * length of the longer text), in characters; most_edits, if it is given, caps the limit.
+edit moves only the anchors and walks that touch it, wherever it is and however long, at the head and the tail too. A band is
+`samples` places of one walk, with the anchor's gram and a class of the text's length (a text whose partners may be longer than its
+class has the next one as well); the fingerprint of a document is its BINS bands, of which a byte each travels with every band.
 
-Equal texts are one node, linked to the least doc_id among them at distance 0. The search is approximate:
-tests hold its recall against brute force at 0.9 or more.
+Texts of PLAIN characters or more are candidates if they agree in AGREE bands, shorter ones in one, and if the lengths
+of what is before and behind the anchors allow it. Candidate pairs are never sent: a task reports a forest of those of its bands, and the texts of
+a connected group meet (in blocks, if there are more than BLOCK_BYTES of them), where every pair of the group with so many bands in
+common is decided exactly: its edit distance is at most floor(rate * length of the longer text), in characters, or not; most_edits,
+if it is given, caps the limit. In large groups distances to a few texts decide most pairs by the triangle
+inequality; what it leaves open is worked out pair by pair.
+
+A link is a pair of documents within the limit; equal texts are, at distance 0. The result has one row for each document
+with a link, and every link between different texts that is found counts. The search is approximate: tests hold its recall
+against brute force at 0.9 or more.
 
 Short texts have shorter walks, by KINDS of length. A document whose length is within the limit of the kind below has
 both, so a pair within the limit always shares one. samples has to grow with the logarithm of the corpus: at 12
 characters with about 4 bits each chance agreements are rare up to some 10^10 documents.
 
-Defined results: null ids, null texts and empty texts give nothing; rows that repeat are one document;
-rows of one doc_id with different texts are several nodes whose pairs are left out; an empty table gives an empty
-result. Only doc_id and text are read; the walk and the distances cover whole texts.
+Defined results: null ids, null texts and empty texts give nothing, nor do documents without a link; rows that repeat are one
+document; a doc_id with different texts counts the links of each of them and has the least of their classes; an empty table
+gives an empty result. Ids have to be integers. Only doc_id and text are read, so other columns may have any name; the anchors
+and the distances cover whole texts.
 """
 
 from __future__ import annotations
@@ -31,8 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._batch import characters, chunks, mix, powers, take_ranges
-from ._graph import by_document, verified
-from ._spark import checkpointed, shuffle_partitions
+from ._graph import LINKS, by_document, components, links_of, sized, stars
+from ._spark import checkpointed, semi_join, shuffle_partitions
 
 U64 = np.uint64
 BINS, GRAM, STRIDE = 16, 6, 3
@@ -42,6 +50,16 @@ KEPT = 20
 KINDS = (48, 96, 192)
 #: Text whose fingerprints are sent in one row for each part.
 HELD_BYTES = 48 << 20
+#: Length from which texts have full walks only, and have to agree in AGREE bands.
+PLAIN = 204
+#: Ratio of the lengths in a class.
+CLASS_RATIO = 1.35
+#: Text of a connected group that is compared in one task; more is cut into blocks by hash, each pair of which is a task.
+BLOCK_BYTES = 3 << 20
+#: Texts of small groups that are compared side by side.
+SIDE_BYTES = 1 << 20
+#: Bands that texts of PLAIN characters or more have to agree in.
+AGREE = 3
 
 
 @lru_cache(4)
@@ -100,8 +118,8 @@ def anchors(chars: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return text[some], some, h[some]
 
 
-def text_signatures(chars: np.ndarray, offsets: np.ndarray, samples: int, most_edits: int | None, rate: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, signature, place of the anchor in the text) of texts that can have a near one."""
+def text_signatures(chars: np.ndarray, offsets: np.ndarray, samples: int, most_edits: int | None, rate: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(text, signature, place of the anchor in the text, byte of the fingerprint) of texts that can have a near one, and their fingerprints: (text, 0 for full and 1 for shortened walks, bin)."""
     n = np.diff(offsets)
     text, at, h = anchors(chars, offsets)
     can = edit_limit(longest(n, most_edits, rate), most_edits, rate) > 0
@@ -109,6 +127,7 @@ def text_signatures(chars: np.ndarray, offsets: np.ndarray, samples: int, most_e
     own, lower = kind(n)[text], kind(n - edit_limit(n, most_edits, rate))[text]
     lanes = [(k, on) for k in range(len(KINDS) + 1) if len(on := np.flatnonzero((lower <= k) & (k <= own)))]
     padded, bits = np.append(chars, np.uint8(0)), _bits(samples * STRIDE)
+    prints = np.zeros((len(n), 2, BINS), np.uint8)
     out = []
     for k, on in lanes:
         sig, x, end = h[on] + U64(k), at[on].copy(), offsets[1:][text[on]]
@@ -118,64 +137,47 @@ def text_signatures(chars: np.ndarray, offsets: np.ndarray, samples: int, most_e
                 with np.errstate(over="ignore"):
                     sig = sig * U64(0x100000001B3) + c.astype(U64) + U64(1)
             x += bits[step][c]
-        out.append((text[on], mix(sig), at[on] - offsets[:-1][text[on]]))
+        sig = mix(sig)
+        byte = (sig % U64(255) + U64(1)).astype(np.uint8)
+        own_bin = (h[on] >> U64(60)).astype(np.int64)
+        for which, kinds in ((0, own), (1, lower)):
+            mine = kinds[on] == k
+            prints[text[on][mine], which, own_bin[mine]] = byte[mine]
+        out.append((text[on], sig, at[on] - offsets[:-1][text[on]]))
     if not out:
-        return text, h, at
-    return tuple(np.concatenate(x) for x in zip(*out))
-
-
-def node_keys(b: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Hash of each text's bytes."""
-    p, inverse = powers(len(b) + 1)
-    s = np.zeros(len(b) + 1, U64)
-    with np.errstate(over="ignore"):
-        np.cumsum((b.astype(U64) + U64(1)) * p[: len(b)], out=s[1:])
-        return mix((s[offsets[1:]] - s[offsets[:-1]]) * inverse[offsets[:-1]] + np.diff(offsets).astype(U64)).view(np.int64)
-
-
-#: Classes of characters whose counts travel with a signature, mod 256.
-CLASSES = 16
-_BLOCK = "part int, signatures binary, nodes binary, lengths binary, places binary, bags binary"
-
-
-def bags(chars: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """(text, class) counts of the texts' characters, mod 256."""
-    n = len(offsets) - 1
-    own = np.repeat(np.arange(n), np.diff(offsets))
-    return np.bincount(own * CLASSES + chars % CLASSES, minlength=n * CLASSES).astype(np.uint8).reshape(n, CLASSES)
+        return text, h, at, prints
+    return *(np.concatenate(x) for x in zip(*out)), prints
 
 
-def bag_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Least edits between texts with these counts, if it is under 128: an edit adds to one class at most, and takes from one."""
-    d = (x - y).view(np.int8).astype(np.int16)
-    return np.maximum(np.maximum(d, 0).sum(axis=1), np.maximum(-d, 0).sum(axis=1))
+def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many bytes two fingerprints have in common."""
+    return ((x == y) & (x != 0)).sum(axis=1)
 
 
-def far_bag_bound(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """As bag_bound, for any number of edits: counts mod 256 differ by no less than this, but the sign is unknown."""
-    return (np.abs((x - y).view(np.int8).astype(np.int16)).sum(axis=1) + 1) // 2
+_BLOCK = "part int, signatures binary, nodes binary, lengths binary, places binary, prints binary"
+_NAMES = ["part", "signatures", "nodes", "lengths", "places", "prints"]
 
 
-def _signatures(docs: DataFrame, samples: int, most_edits: int | None, rate: float, parts: int) -> DataFrame:
-    """Blocks of (signature, node, length, place) by part of the signature; and rows of part -1: (ids, nodes)."""
-
-    def rows(*columns: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(columns)], names=["part", "signatures", "nodes", "lengths", "places", "bags"])
+def _bands(docs: DataFrame, samples: int, most_edits: int | None, rate: float, parts: int) -> DataFrame:
+    """The bands of docs (node, text) in blocks by part of the signature: (signature, node, length, place, fingerprint)."""
+    ratio = np.log(max(CLASS_RATIO, 1.2 / (1 - rate)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for rb, b, o in chunks(batches):
-            some = np.diff(o) > 0
-            nodes = node_keys(b, o)
-            yield rows([-1], [rb.column(0).to_numpy()[some].tobytes()], [nodes[some].tobytes()], [None], [None], [None])
+            nodes = rb.column(0).to_numpy()
             c, at = fold(b, o)
             # equal texts of a chunk walk once
             _, first = np.unique(nodes, return_index=True)
-            first = first[some[first]]
             n = np.diff(at)[first]
             c, at = c[take_ranges(at[:-1][first], n)], np.concatenate([[0], np.cumsum(n)])
-            own, sig, place = text_signatures(c, at, samples, most_edits, rate)
-            held.append((sig, nodes[first][own], n[own].astype(np.int32), place.astype(np.int32), bags(c, at)[own]))
+            own, sig, place, prints = text_signatures(c, at, samples, most_edits, rate)
+            low, high = (np.floor(np.log(np.maximum(x[own], 1)) / ratio).astype(np.int64) for x in (n, longest(n, most_edits, rate)))
+            each = np.repeat(np.arange(len(own)), high - low + 1)
+            with np.errstate(over="ignore"):
+                sig = mix(sig[each] + take_ranges(low, high - low + 1).astype(U64))
+            own, place = own[each], place[each]
+            held.append((sig, nodes[first][own], n[own].astype(np.int32), place.astype(np.int32), prints[own, 0]))
             size += len(b)
             if size > HELD_BYTES:
                 yield from blocks(held)
@@ -189,13 +191,22 @@ def _signatures(docs: DataFrame, samples: int, most_edits: int | None, rate: flo
         order = np.argsort(part, kind="stable")
         columns, edges = [x[order] for x in columns], np.searchsorted(part[order], np.arange(parts + 1))
         for k in np.flatnonzero(np.diff(edges)):
-            yield rows([int(k)], *([x[edges[k] : edges[k + 1]].tobytes()] for x in columns))
+            row = [[int(k)], *([x[edges[k] : edges[k + 1]].tobytes()] for x in columns)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(row)], names=_NAMES)
 
     return docs.mapInArrow(run, _BLOCK)
 
 
-def _candidates(blocks: DataFrame, most_edits: int | None, rate: float, parts: int) -> DataFrame:
-    """(a, b) of nodes that agree in a fingerprint, around which the lengths are within the limit."""
+def _reach(group: np.ndarray, length: np.ndarray, most_edits: int | None, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """First and last + 1 of the rows of the same group whose lengths allow a near text; rows are sorted by group and length."""
+    most = longest(length, most_edits, rate)
+    scale = int(most.max()) + 2
+    at, far = group * scale + length, group * scale + most
+    return np.searchsorted(far, at, "left"), np.searchsorted(at, far, "right")
+
+
+def _forest(bands: DataFrame, most_edits: int | None, rate: float, parts: int) -> DataFrame:
+    """(a, b) that connect all nodes which are candidates by their bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: list[list[np.ndarray]] = [[], [], [], [], []]
@@ -205,39 +216,55 @@ def _candidates(blocks: DataFrame, most_edits: int | None, rate: float, parts: i
                     g.append(np.frombuffer(rb.column(k)[i].as_buffer(), kind))
         if not got[0]:
             return
-        sig, node, length, place, bag = (np.concatenate(g) for g in got)
-        bag = bag.reshape(-1, CLASSES)
+        sig, node, length, place, prints = (np.concatenate(g) for g in got)
+        prints = prints.reshape(-1, BINS)
         order = np.lexsort((node, length, sig))
         new = np.ones(len(sig), bool)
         new[1:] = (sig[order][1:] != sig[order][:-1]) | (node[order][1:] != node[order][:-1])
         order = order[new]
-        sig, node, length, place, bag = sig[order], node[order], length[order].astype(np.int64), place[order].astype(np.int64), bag[order]
-        if not len(sig):
+        # a band that one text alone has is left out
+        same = np.append(sig[order][1:] == sig[order][:-1], False)
+        order = order[same | np.append(False, same[:-1])]
+        if not len(order):
             return
+        sig, node, length, place, prints = sig[order], node[order], length[order].astype(np.int64), place[order].astype(np.int64), prints[order]
         first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
-        group = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(sig))))
-        # partners are those behind a node in its bucket, while they are not too long
-        most = longest(length, most_edits, rate)
-        scale = int(most.max()) + 2
-        reach = np.searchsorted(group * scale + length, group * scale + most, "right")
-        n = reach - np.arange(len(sig)) - 1
-        total, at = np.cumsum(n), 0
-        while at < len(sig):
-            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 20), "right")))
-            i, j = np.repeat(np.arange(at, to), n[at:to]), take_ranges(np.arange(at, to) + 1, n[at:to])
-            limit = edit_limit(length[j], most_edits, rate)
+        count = np.diff(np.append(first, len(sig)))
+        group = np.repeat(np.arange(len(first)), count)
+
+        def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+            limit = edit_limit(np.maximum(length[i], length[j]), most_edits, rate)
             # what is before the anchors differs by so many characters, and what is behind them
             before, longer = place[j] - place[i], length[j] - length[i]
-            ok = np.abs(before) + np.abs(longer - before) <= limit
-            i, j, limit = i[ok], j[ok], limit[ok]
-            ok = np.where(limit < 128, bag_bound(bag[i], bag[j]), far_bag_bound(bag[i], bag[j])) <= limit
-            a, b = np.minimum(node[i[ok]], node[j[ok]]), np.maximum(node[i[ok]], node[j[ok]])
-            pair = np.unique(np.stack([a, b], axis=1), axis=0)
-            if len(pair):
-                yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], names=["a", "b"])
+            ok = np.flatnonzero(np.abs(before) + np.abs(longer - before) <= limit)
+            few = (length[i[ok]] >= PLAIN) & (length[j[ok]] >= PLAIN)
+            return ok[~few | (agreeing(prints[i[ok]], prints[j[ok]]) >= AGREE)]
+
+        # of a crowded band's texts, most are near its middle one: these need no look at each other
+        rows = np.arange(len(sig))
+        middle = (first + count // 2)[group]
+        close = near(rows, middle)
+        with_middle = np.zeros(len(sig), bool)
+        with_middle[close] = True
+        edges = [stars(node[close], node[middle[close]])]
+        low, high = _reach(group, length, most_edits, rate)
+        low = np.where(with_middle, rows, low)
+        high = np.where(with_middle, rows, high)
+        n, at = high - low, 0
+        total = np.cumsum(n)
+        while at < len(sig):
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 20), "right")))
+            i, j = np.repeat(np.arange(at, to), n[at:to]), take_ranges(low[at:to], n[at:to])
+            ok = near(i, j)
+            edges.append(stars(node[i[ok]], node[j[ok]]))
+            if len(edges) > 16:
+                edges = [stars(*(np.concatenate(x) for x in zip(*edges)))]
             at = to
+        a, b = stars(*(np.concatenate(x) for x in zip(*edges)))
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
-    return blocks.where("part >= 0").repartitionById(parts, F.col("part")).mapInArrow(run, "a long, b long").distinct()
+    return bands.repartitionById(parts, F.col("part")).mapInArrow(run, "a long, b long")
 
 
 def bounded_distances(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits: np.ndarray) -> np.ndarray:
@@ -346,46 +373,248 @@ def far_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
     return min(score, limit + 1)
 
 
-def _prepare(most_edits: int | None, rate: float):
-    def prepare(texts: list[np.ndarray]):
-        size = np.array([int(((t & 0xC0) != 0x80).sum()) for t in texts], np.int64)
-
-        def compare(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            limits = edit_limit(np.maximum(size[i], size[j]), most_edits, rate)
-            near = np.minimum(limits, NEAR_EDITS)
-            got = np.zeros(len(i), np.int64)
-            at = 0
-            while at < len(i):
-                # some 4096 pairs, of 4 MB of text or one pair
-                to = at + max(1, int(np.searchsorted(np.cumsum(size[i[at : at + 4096]] + size[j[at : at + 4096]]), 4 << 20, "right")))
-                used, index = np.unique(np.concatenate([i[at:to], j[at:to]]), return_inverse=True)
-                h = len(index) // 2
-                got[at:to] = bounded_distances([characters(texts[u])[0] for u in used], index[:h], index[h:], near[at:to])
-                at = to
-            for k in np.flatnonzero((got > near) & (near < limits)):
-                got[k] = far_distance(characters(texts[i[k]])[0], characters(texts[j[k]])[0], int(limits[k]))
-            return got, got <= limits
-
-        return compare
-
-    return prepare
-
-
-def _encode(b: np.ndarray, o: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    return node_keys(b, o), [b[i:j].tobytes() for i, j in zip(o[:-1], o[1:])]
+#: Pairs from which on columns of all of them are worked out side by side, and memory for the places of the characters of their texts.
+SIDE_BY_SIDE, PLACES_BYTES = 48, 32 << 20
+COLUMNS = 64
+
+
+def band_distances(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits: np.ndarray) -> np.ndarray | None:
+    """As far_distance for many pairs: a band of bit vectors, a column of every pair at a time. None if the places of the characters would take too much memory."""
+    used, index = np.unique(np.concatenate([i, j]), return_inverse=True)
+    own = [texts[u] for u in used]
+    size = np.array([len(t) for t in own], np.int64)
+    names, codes = np.unique(np.concatenate(own), return_inverse=True)
+    top = int(limits.max())
+    reach = (top + 63) // 64
+    # words of the places: some zeros before the text and behind it
+    words = int(size.max() + 63) // 64 + 2 * reach + 3
+    wide = len(names) + 1
+    if len(own) * wide * words * 8 > PLACES_BYTES:
+        return None
+    places = np.zeros((len(own) * wide, words * 8), np.uint8)
+    begin = np.cumsum(size) - size
+    text, at = np.repeat(np.arange(len(own)), size), np.arange(len(codes)) - np.repeat(begin, size)
+    np.bitwise_or.at(places, (text * wide + codes, at // 8 + 8 * reach), (1 << (at % 8)).astype(np.uint8))
+    places = places.view(U64).ravel()
+    padded = np.full((len(own), int(size.max()) + COLUMNS), wide - 1, np.int32)
+    padded[text, at] = codes
+    x, y = index[: len(i)], index[len(i) :]
+    m, n, limit = size[x], size[y], limits.copy()
+    out = limits + 1
+    live = np.flatnonzero(np.abs(m - n) <= limit)
+    w = 2 * reach + 1
+    # row 0 of the window is row 64 * (k / 64 - reach) of the table; rows before the first count as nothing
+    up = np.full((w, len(live)), ~U64(0))
+    up[:reach] = 0
+    down = np.zeros((w, len(live)), U64)
+    score = np.full(len(live), 64 * (reach + 1), np.int64)
+    one, shift = U64(1), U64(63)
+    offset = np.arange(w)[:, None]
+
+    def below(bits: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Set bits from a row of the window on."""
+        keep = np.clip(64 * (offset + 1) - row, 0, 64)
+        mask = np.where(keep == 64, ~U64(0), ~((one << (U64(64) - keep.astype(U64)) % U64(64)) - one))
+        mask[keep == 0] = 0
+        return np.bitwise_count(bits & mask).sum(axis=0, dtype=np.int64)
+
+    for k in range(0, int(n[live].max()) if len(live) else 0, COLUMNS):
+        first = (x[live] * wide) * words + k // 64
+        text_of, end = y[live], n[live]
+        ends = {}
+        for p in np.flatnonzero(end <= k + COLUMNS):
+            ends.setdefault(int(end[p]), []).append(p)
+        if k in ends:  # texts of no characters
+            out[live[ends[k]]] = m[live[ends[k]]]
+        for c in range(k, k + COLUMNS):
+            eq = places[(first + padded[text_of, c].astype(np.int64) * words) + offset]
+            v = eq | down
+            t = eq & up
+            total = t + up
+            over = total < t
+            for q in range(1, w):
+                more = total[q] + over[q - 1]
+                over[q] |= more < total[q]
+                total[q] = more
+            h = (total ^ up) | eq
+            right, left = down | ~(h | up), up & h
+            score += (right[-1] >> shift).astype(np.int64) - (left[-1] >> shift).astype(np.int64)
+            carry_r, carry_l = right[:-1] >> shift, left[:-1] >> shift
+            right <<= one
+            left <<= one
+            right[1:] |= carry_r
+            left[1:] |= carry_l
+            right[0] |= one
+            up = left | ~(v | right)
+            down = right & v
+            if c + 1 in ends:
+                p = np.array(ends[c + 1])
+                row = m[live[p]] - 64 * (k // 64 - reach)
+                out[live[p]] = score[p] - below(up[:, p], row) + below(down[:, p], row)
+        # the distance of the first characters of both can't fall by more than the difference of the lengths
+        row = np.full(len(live), 64 * reach + COLUMNS)
+        so_far = score - below(up, row) + below(down, row)
+        stay = (end > k + COLUMNS) & ((m[live] < k + COLUMNS) | (so_far - np.abs(m - n)[live] <= limit[live]))
+        live, up, down, score = live[stay], up[:, stay], down[:, stay], score[stay]
+        if not len(live):
+            break
+        # the window moves on by a word; its new rows count as one more each
+        up = np.concatenate([up[1:], np.full((1, len(live)), ~U64(0))])
+        down = np.concatenate([down[1:], np.zeros((1, len(live)), U64)])
+        score = score + 64
+    return np.minimum(out, limits + 1)
 
 
-def edit_pairs(docs: DataFrame, most_edits: int | None = None, rate: float = 0.05, samples: int = 12) -> DataFrame:
-    """(doc_a, doc_b, edits) with doc_a < doc_b: equal texts linked to their least doc_id, and pairs of different texts within the limit, by their least doc_ids."""
-    src, parts = docs.where("doc_id is not null and text is not null and text <> ''").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text"), shuffle_partitions(docs.sparkSession)
-    blocks = checkpointed(_signatures(src, samples, most_edits, rate, parts))
+def within(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Edit distances of texts[i] and texts[j], as code points; limit + 1 where they are above it."""
+    size = np.array([len(t) for t in texts], np.int64)
+    near = np.minimum(limits, NEAR_EDITS)
+    got = np.zeros(len(i), np.int64)
+    at = 0
+    while at < len(i):
+        # some 4096 pairs, of 1 M characters or one pair
+        to = at + max(1, int(np.searchsorted(np.cumsum(size[i[at : at + 4096]] + size[j[at : at + 4096]]), 1 << 20, "right")))
+        used, index = np.unique(np.concatenate([i[at:to], j[at:to]]), return_inverse=True)
+        h = len(index) // 2
+        got[at:to] = bounded_distances([texts[u] for u in used], index[:h], index[h:], near[at:to])
+        at = to
+    far = np.flatnonzero((got > near) & (near < limits))
+    far = far[np.lexsort((i[far], limits[far]))]
+    while len(far):
+        some = far[: min(2048, int(np.searchsorted(limits[far], 1.25 * limits[far[0]] + 16, "right")))]
+        d = None
+        while len(some) >= SIDE_BY_SIDE and (d := band_distances(texts, i[some], j[some], limits[some])) is None:
+            some = some[: len(some) // 2]
+        if d is None:
+            d = [far_distance(texts[i[k]], texts[j[k]], int(limits[k])) for k in some]
+        got[some] = d
+        far = far[len(some) :]
+    return got
+
+
+def decided(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Whether the pairs are within their limits. While many pairs are open, the text with the most weight in them is compared with its partners, and the triangle inequality decides others."""
+    ok = np.zeros(len(i), bool)
+    left = np.arange(len(i))
+    while len(left) >= 64:
+        a, b = i[left], j[left]
+        weight = np.bincount(a, weights[left], len(texts)) + np.bincount(b, weights[left], len(texts))
+        pivot = int(weight.argmax())
+        mine = (a == pivot) | (b == pivot)
+        if mine.sum() < 8:
+            break
+        partner, limit = np.where(a == pivot, b, a)[mine], limits[left[mine]]
+        d = within(texts, np.full(len(partner), pivot), partner, 3 * limit)
+        ok[left[mine]] = d <= limit
+        far, beyond = np.full(len(texts), -1, np.int64), np.zeros(len(texts), bool)
+        far[partner], beyond[partner] = d, d > 3 * limit
+        left = left[~mine]
+        x, y = far[i[left]], far[j[left]]
+        u, v = beyond[i[left]], beyond[j[left]]
+        known = (x >= 0) & (y >= 0)
+        yes = known & ~u & ~v & (x + y <= limits[left])
+        # a text beyond three limits is at least so far away
+        no = known & ((~v & (x - y > limits[left])) | (~u & (y - x > limits[left])))
+        ok[left[yes]] = True
+        left = left[~(yes | no)]
+        if (yes | no).sum() < 4 * len(partner):
+            break
+    if len(left):
+        ok[left] = within(texts, i[left], j[left], limits[left]) <= limits[left]
+    return ok
+
+
+def _links(docs: DataFrame, each: DataFrame, home: DataFrame, samples: int, most_edits: int | None, rate: float, parts: int) -> DataFrame:
+    """Rows of LINKS for the pairs of nodes of one component that have bands in common and are within the limit. docs: (doc_id, node, text); each: (node, rep, size, octets)."""
+    some = each.join(home, "node")
+    large = some.groupBy("component").agg(F.sum("octets").alias("octets")).where(F.col("octets") > BLOCK_BYTES).select("component", F.ceil(F.col("octets") / BLOCK_BYTES).alias("blocks"))
+    block = F.pmod(F.xxhash64(F.lit(11), "node"), F.col("blocks"))
+    other = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+    key = F.when(F.col("blocks").isNull(), F.xxhash64("component")).otherwise(F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")))
+    some = some.join(large, "component", "left").withColumn("block", block).withColumn("other", F.explode(other))
+    some = checkpointed(some.select(F.col("rep").alias("doc_id"), "node", "size", key.alias("key"), F.when(F.col("blocks").isNull() | (F.col("block") == F.col("other")), F.lit(-1)).otherwise(F.col("block")).alias("block")))
+    own = semi_join(docs, some.select("doc_id", "node").distinct(), ["doc_id", "node"]).join(some, ["doc_id", "node"])
+    rows = own.select(F.pmod("key", F.lit(parts)).cast("int").alias("part"), "key", "block", "node", "size", "text").repartitionById(parts, F.col("part")).sortWithinPartitions("key")
+
+    def solve(group: np.ndarray, block: np.ndarray, node: np.ndarray, size: np.ndarray, blobs: list[bytes]) -> pa.RecordBatch | None:
+        """Links of the texts of several groups."""
+        size_of = np.array([len(t) for t in blobs], np.int64)
+        slices, prints, texts = np.cumsum(size_of) // SIDE_BYTES, [], []
+        for k in np.unique(slices):
+            # a slice of the texts at a time: arrays of a number for each character are large
+            some = np.flatnonzero(slices == k)
+            o = np.concatenate([[0], np.cumsum(size_of[some])])
+            b = np.frombuffer(b"".join(blobs[some[0] : some[-1] + 1]), np.uint8)
+            c, at = fold(b, o)
+            prints.append(text_signatures(c, at, samples, most_edits, rate)[3])
+            points = characters(b)[0].astype(np.uint32)
+            texts += [points[i:j] for i, j in zip(at[:-1], at[1:])]
+        length, prints = np.array([len(t) for t in texts], np.int64), np.concatenate(prints)
+        _, group = np.unique(group, return_inverse=True)
+        order = np.lexsort((node, length, group))
+        new = np.ones(len(order), bool)
+        # rows that repeat
+        new[1:] = (group[order][1:] != group[order][:-1]) | (node[order][1:] != node[order][:-1])
+        order = order[new]
+        texts = [texts[k] for k in order]
+        group, block, node, size, length, prints = (x[order] for x in (group, block, node, size, length, prints))
+        _, high = _reach(group, length, most_edits, rate)
+        n = high - np.arange(len(order)) - 1
+        total, start, pairs = np.cumsum(n), 0, []
+        while start < len(order):
+            to = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + (1 << 19), "right")))
+            i, j = np.repeat(np.arange(start, to), n[start:to]), take_ranges(np.arange(start, to) + 1, n[start:to])
+            ok = (block[i] == -1) | (block[i] != block[j])
+            i, j = i[ok], j[ok]
+            long = (length[i] >= PLAIN) & (length[j] >= PLAIN)
+            ok = np.zeros(len(i), bool)
+            common = np.ones(len(i), np.int64)
+            common[long] = agreeing(prints[i[long], 0], prints[j[long], 0])
+            ok[long] = common[long] >= AGREE
+            short = np.flatnonzero(~long)
+            for p in (0, 1):
+                for q in (0, 1):
+                    ok[short] |= agreeing(prints[i[short], p], prints[j[short], q]) > 0
+            pairs.append((i[ok], j[ok], common[ok]))
+            start = to
+        i, j, common = (np.concatenate(x) for x in zip(*pairs))
+        limits = edit_limit(np.maximum(length[i], length[j]), most_edits, rate)
+        ok = decided(texts, i, j, limits, common)
+        return links_of(i[ok], j[ok], node, size)
 
-    def pairs_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, octets, last = [], 0, None
         for rb in batches:
-            for ids, keys in zip(rb.column(0), rb.column(1)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(ids.as_buffer(), np.int64)), pa.array(np.frombuffer(keys.as_buffer(), np.int64))], names=["doc_id", "node"])
-
-    nodes = blocks.where("part = -1").select("signatures", "nodes").mapInArrow(pairs_of, "doc_id long, node long")
-    candidates = checkpointed(_candidates(blocks, most_edits, rate, parts))
-    near = verified(src, nodes, candidates, _encode, _prepare(most_edits, rate), parts).select("doc_a", "doc_b", F.col("value").cast("int").alias("edits"))
-    return by_document(nodes, near, "edits", 0, F.min)
+            keys = rb.column(1).to_numpy()
+            blobs = rb.column(5).cast(pa.binary())
+            edge = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
+            for i, j in zip(edge[:-1], edge[1:]):
+                if i == j:
+                    continue
+                if keys[i] != last and octets > SIDE_BYTES:
+                    if (out := solve(*together(held))) is not None:
+                        yield out
+                    held, octets = [], 0
+                last = keys[i]
+                texts = blobs[i:j].to_pylist()
+                held.append((keys[i:j], *(rb.column(k)[i:j].to_numpy() for k in (2, 3, 4)), texts))
+                octets += sum(map(len, texts))
+        if held and (out := solve(*together(held))) is not None:
+            yield out
+
+    def together(held: list) -> tuple:
+        *columns, texts = zip(*held)
+        return *(np.concatenate(x) for x in columns), [t for some in texts for t in some]
+
+    return rows.mapInArrow(run, LINKS)
+
+
+def edit_links(docs: DataFrame, most_edits: int | None = None, rate: float = 0.05, samples: int = 12) -> DataFrame:
+    """(doc_id, class_id, n_links) of every document that another one is within the limit of."""
+    parts = shuffle_partitions(docs.sparkSession)
+    src = docs.where("doc_id is not null and text is not null and text <> ''").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("node"), "text")
+    nodes = checkpointed(src.select("doc_id", "node", F.octet_length("text").alias("octets")).distinct())
+    each = sized(nodes)
+    home = checkpointed(components(checkpointed(_forest(_bands(src.select("node", "text"), samples, most_edits, rate, parts), most_edits, rate, parts))))
+    links = checkpointed(_links(src, each, home, samples, most_edits, rate, parts))
+    return by_document(nodes.select("doc_id", "node"), each.select("node", "rep", "size"), links)

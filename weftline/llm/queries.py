@@ -59,7 +59,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_edit_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_fingerprint.edit_pairs(table(spark, sf_dir, "documents"))
+    return edit_fingerprint.edit_links(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
