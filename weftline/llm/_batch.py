@@ -158,6 +158,10 @@ def take_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 def characters(b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code points of UTF-8, and their byte positions."""
     at = np.flatnonzero((b & 0xC0) != 0x80)
-    x = np.concatenate([b, np.zeros(3, np.uint8)]).astype(np.int64)
-    c, d, e, f = x[at], x[at + 1] & 63, x[at + 2] & 63, x[at + 3] & 63
-    return np.where(c < 0x80, c, np.where(c < 0xE0, (c & 31) << 6 | d, np.where(c < 0xF0, (c & 15) << 12 | d << 6 | e, (c & 7) << 18 | d << 12 | e << 6 | f))), at
+    out = b[at].astype(np.int64)
+    many = np.flatnonzero(out >= 0xC0)
+    if len(many):
+        x, k, c = np.concatenate([b, np.zeros(3, np.uint8)]).astype(np.int64), at[many], out[many]
+        d, e, f = x[k + 1] & 63, x[k + 2] & 63, x[k + 3] & 63
+        out[many] = np.where(c < 0xE0, (c & 31) << 6 | d, np.where(c < 0xF0, (c & 15) << 12 | d << 6 | e, (c & 7) << 18 | d << 12 | e << 6 | f))
+    return out, at

@@ -45,7 +45,7 @@ from ._spark import checkpointed, semi_join, shuffle_partitions
 U64 = np.uint64
 BINS, GRAM, STRIDE = 16, 6, 3
 #: Grams of a bin that are sorted, of long texts.
-KEPT = 20
+KEPT = 8
 #: Lengths from which walks have twice the samples.
 KINDS = (48, 96, 192)
 #: Text whose fingerprints are sent in one row for each part.
@@ -55,7 +55,7 @@ PLAIN = 204
 #: Ratio of the lengths in a class.
 CLASS_RATIO = 1.35
 #: Text of a connected group that is compared in one task; more is cut into blocks by hash, each pair of which is a task.
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 1 << 20
 #: Texts of small groups that are compared side by side.
 SIDE_BYTES = 1 << 20
 #: Bands that texts of PLAIN characters or more have to agree in.
@@ -374,18 +374,18 @@ def far_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
 
 
 #: Pairs from which on columns of all of them are worked out side by side, and memory for the places of the characters of their texts.
-SIDE_BY_SIDE, PLACES_BYTES = 48, 32 << 20
+SIDE_BY_SIDE, PLACES_BYTES = 64, 32 << 20
 COLUMNS = 64
 
 
 def band_distances(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits: np.ndarray) -> np.ndarray | None:
-    """As far_distance for many pairs: a band of bit vectors, a column of every pair at a time. None if the places of the characters would take too much memory."""
+    """As far_distance for many pairs whose lengths differ by no more than the limit: a band of bit vectors, a column of every pair at a time. None if the places of the characters would take too much memory."""
     used, index = np.unique(np.concatenate([i, j]), return_inverse=True)
     own = [texts[u] for u in used]
     size = np.array([len(t) for t in own], np.int64)
     names, codes = np.unique(np.concatenate(own), return_inverse=True)
-    top = int(limits.max())
-    reach = (top + 63) // 64
+    # a path over a diagonal has at least as many edits as it is away from that of the start and that of the end
+    reach = (int(((limits + np.abs(size[index[: len(i)]] - size[index[len(i) :]])) // 2).max()) + 63) // 64
     # words of the places: some zeros before the text and behind it
     words = int(size.max() + 63) // 64 + 2 * reach + 3
     wide = len(names) + 1
@@ -401,7 +401,7 @@ def band_distances(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits
     x, y = index[: len(i)], index[len(i) :]
     m, n, limit = size[x], size[y], limits.copy()
     out = limits + 1
-    live = np.flatnonzero(np.abs(m - n) <= limit)
+    live = np.arange(len(i))
     w = 2 * reach + 1
     # row 0 of the window is row 64 * (k / 64 - reach) of the table; rows before the first count as nothing
     up = np.full((w, len(live)), ~U64(0))
@@ -478,7 +478,8 @@ def within(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits: np.nda
         h = len(index) // 2
         got[at:to] = bounded_distances([texts[u] for u in used], index[:h], index[h:], near[at:to])
         at = to
-    far = np.flatnonzero((got > near) & (near < limits))
+    got[got > near] = limits[got > near] + 1
+    far = np.flatnonzero((got > limits) & (near < limits) & (np.abs(size[i] - size[j]) <= limits))
     far = far[np.lexsort((i[far], limits[far]))]
     while len(far):
         some = far[: min(2048, int(np.searchsorted(limits[far], 1.25 * limits[far[0]] + 16, "right")))]
@@ -492,33 +493,52 @@ def within(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits: np.nda
     return got
 
 
-def decided(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Whether the pairs are within their limits. While many pairs are open, the text with the most weight in them is compared with its partners, and the triangle inequality decides others."""
-    ok = np.zeros(len(i), bool)
+def decided(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits: np.ndarray) -> np.ndarray:
+    """Whether the pairs are within their limits. While many pairs are open, a text is compared with all that are in them, and the triangle inequality decides others.
+
+    Copies of one text differ by about the sum of their distances to it, so a text in the middle decides most pairs: the next one
+    to be compared is the one that is nearest to those before.
+    """
+    ok, aside = np.zeros(len(i), bool), []
     left = np.arange(len(i))
     while len(left) >= 64:
-        a, b = i[left], j[left]
-        weight = np.bincount(a, weights[left], len(texts)) + np.bincount(b, weights[left], len(texts))
-        pivot = int(weight.argmax())
-        mine = (a == pivot) | (b == pivot)
-        if mine.sum() < 8:
-            break
-        partner, limit = np.where(a == pivot, b, a)[mine], limits[left[mine]]
-        d = within(texts, np.full(len(partner), pivot), partner, 3 * limit)
-        ok[left[mine]] = d <= limit
-        far, beyond = np.full(len(texts), -1, np.int64), np.zeros(len(texts), bool)
-        far[partner], beyond[partner] = d, d > 3 * limit
-        left = left[~mine]
-        x, y = far[i[left]], far[j[left]]
-        u, v = beyond[i[left]], beyond[j[left]]
-        known = (x >= 0) & (y >= 0)
-        yes = known & ~u & ~v & (x + y <= limits[left])
-        # a text beyond three limits is at least so far away
-        no = known & ((~v & (x - y > limits[left])) | (~u & (y - x > limits[left])))
-        ok[left[yes]] = True
-        left = left[~(yes | no)]
-        if (yes | no).sum() < 4 * len(partner):
+        degree = np.bincount(i[left], minlength=len(texts)) + np.bincount(j[left], minlength=len(texts))
+        pivot = int(degree.argmax())
+        if degree[pivot] < 16:
             break
+        # a cluster: the texts that the one with most open pairs is in a pair with, and itself
+        inside = np.zeros(len(texts), bool)
+        inside[i[left[j[left] == pivot]]] = inside[j[left[i[left] == pivot]]] = inside[pivot] = True
+        mine = inside[i[left]] | inside[j[left]]
+        left, own = left[~mine], left[mine]
+        away = np.zeros(len(texts))
+        for k in range(12):
+            a, b = i[own], j[own]
+            # from the pivot to every text of an open pair, up to three limits
+            most = np.zeros(len(texts), np.int64)
+            np.maximum.at(most, a, 3 * limits[own])
+            np.maximum.at(most, b, 3 * limits[own])
+            most[pivot] = 0
+            others = np.flatnonzero(most)
+            if len(own) < 24 * len(others):
+                break
+            far, beyond = np.zeros(len(texts), np.int64), np.zeros(len(texts), bool)
+            far[others] = within(texts, np.full(len(others), pivot), others, most[others])
+            beyond[others] = far[others] > most[others]
+            x, y, u, v = far[a], far[b], beyond[a], beyond[b]
+            yes = ~u & ~v & (x + y <= limits[own])
+            # a text beyond three limits is at least so far away
+            no = (~v & (x - y > limits[own])) | (~u & (y - x > limits[own])) | ((a == pivot) | (b == pivot)) & ~yes
+            ok[own[yes]] = True
+            own = own[~(yes | no)]
+            away += far
+            away[pivot] = np.inf
+            if k > 1 and (yes | no).sum() < 2 * len(others) or not len(own):
+                break
+            open_ = np.bincount(i[own], minlength=len(texts)) + np.bincount(j[own], minlength=len(texts))
+            pivot = int(np.where(open_ > 0, away, np.inf).argmin())
+        aside.append(own)
+    left = np.concatenate([left, *aside])
     if len(left):
         ok[left] = within(texts, i[left], j[left], limits[left]) <= limits[left]
     return ok
@@ -568,18 +588,16 @@ def _links(docs: DataFrame, each: DataFrame, home: DataFrame, samples: int, most
             i, j = i[ok], j[ok]
             long = (length[i] >= PLAIN) & (length[j] >= PLAIN)
             ok = np.zeros(len(i), bool)
-            common = np.ones(len(i), np.int64)
-            common[long] = agreeing(prints[i[long], 0], prints[j[long], 0])
-            ok[long] = common[long] >= AGREE
+            ok[long] = agreeing(prints[i[long], 0], prints[j[long], 0]) >= AGREE
             short = np.flatnonzero(~long)
             for p in (0, 1):
                 for q in (0, 1):
                     ok[short] |= agreeing(prints[i[short], p], prints[j[short], q]) > 0
-            pairs.append((i[ok], j[ok], common[ok]))
+            pairs.append((i[ok], j[ok]))
             start = to
-        i, j, common = (np.concatenate(x) for x in zip(*pairs))
+        i, j = (np.concatenate(x) for x in zip(*pairs))
         limits = edit_limit(np.maximum(length[i], length[j]), most_edits, rate)
-        ok = decided(texts, i, j, limits, common)
+        ok = decided(texts, i, j, limits)
         return links_of(i[ok], j[ok], node, size)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
