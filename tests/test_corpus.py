@@ -9,10 +9,12 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from weftline import cli, config
 from weftline.functions import language, links, text, urls
 from weftline.operators import crawl, merge, quality, stats, taxonomy, tree
-from weftline.plans import catalog
-from weftline.sources import blobs, sitemap
+from weftline.plans import cases, catalog
+from weftline.sources import blobs, http, pages, sitemap
+from weftline.sources.tables import Store
 from weftline.streaming import ingest
 
 SF = "/root/testdata/sf0.001"
@@ -146,7 +148,7 @@ def test_sitemap(spark):
 
 
 def test_crawl_and_sitemaps_have_no_silent_end(spark):
-    keep = lambda name, k, df: df.localCheckpoint()
+    keep = lambda name, k, df: df.sparkSession.createDataFrame(df.collect(), df.schema)
     pages = [(f"https://x.de/{i}", f"https://x.de/{i}", 200, "text/html", f'<a href="/{i + 1}">n</a>'.encode()) for i in range(4)]
     table = spark.createDataFrame(pages, "url string, final_url string, status int, content_type string, data binary").selectExpr("*", "cast(null as string) etag", "cast(null as string) last_modified", "cast(null as string) error")
     seeds = spark.createDataFrame([("https://x.de/0", "x")], "url string, site string")
@@ -184,3 +186,54 @@ def test_percentiles_and_stream(spark, tmp_path):
     stream = spark.readStream.schema("url string, html string").parquet(str(tmp_path / "src"))
     ingest.ingest(stream, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out/links")).first().dst == "https://x.de/a"
+
+
+def test_tables_cli_and_settings(spark, tmp_path, capsys):
+    (tmp_path / "config.toml").write_text('[[sites]]\nname = "x"\nseed_url = "https://x.de/"\nallowed_domain = "x.de"\n[crawl]\nuser_agent = "t"\nuse_sitemap = false\n[storage]\nfolder = "data"\n')
+    s = config.load(tmp_path / "config.toml")
+    assert config.find(tmp_path / "a" / "b") == tmp_path / "config.toml" and config.choose(s, ["x.de"]) == s.sites
+    with pytest.raises(SystemExit):
+        config.choose(s, ["y"])
+    (tmp_path / "bad.toml").write_text('[[sites]]\nname = "x"\nseed_url = "u"\nallowed_domain = "d"\n[crawl]\nuser_agent = "t"\nrecheck = "never"\n[storage]\nraw_dir = "r"\n')
+    with pytest.raises(ValueError, match="recheck"):
+        config.load(tmp_path / "bad.toml")
+    store = Store(spark, s.folder)
+    assert store.read("queue").count() == 0
+    long = "<title>Page</title><p>" + "word " * 70 + '</p><a href="/b">b</a>'
+    web = {"https://x.de/": long, "https://x.de/b": long.replace("word", "other")}
+    answers = lambda wave: spark.createDataFrame([(u, u, 200, "text/html", bytearray(h.encode()), None, None, None) for u, h in web.items()], http.SCHEMA).join(wave.select("url"), "url")
+    assert cli.fetch(store, s, fetcher=answers)["x.de"]["new"] == 2
+    assert cli.run_extract(store, s) == {"indexed": 2, "rejected": 0, "error": 0}
+    assert cli.dedup(store) == {"before": 2, "retired": 0, "after": 2} and cli.backfill(store)["documents"] == 2
+    assert cli.fetch(store, s, fetcher=answers)["x.de"]["unchanged"] == 2
+    web["https://x.de/b"] = "<p>changed</p>"
+    assert cli.fetch(store, s, fetcher=answers)["x.de"]["changed"] == 1 and store.read("crawl_log").count() == 6 and store.read("links").count() == 2
+    assert cli.run_extract(store, s) == {"indexed": 0, "rejected": 1, "error": 0} and len(cli.delta(store, "")["upserts"]) == 2
+    counts = cli.counts(store)
+    assert counts["documents"] == 2 and counts["queue_done"] == 2 and counts["rejects"] == {"too short: 1 words": 1}
+    page = cli.render(cli.payload(store, s))
+    assert "under-covered" in page and "</script></script>" not in page
+    assert cli.main(["--config", str(tmp_path / "config.toml"), "stats"], spark) == 0 and '"documents": 2' in capsys.readouterr().out
+    assert store.vacuum("queue") >= 2 and store.read("queue").count() == 2
+    assert cli.reset(store, s, ["x"])["x"]["queue"] == 2 and store.read("queue").count() == 0 and store.read("raw_docs").count() == 3
+    assert cli.size_text(1536) == "1.5 KB" and "</" not in cli.island("</script>")
+
+
+def test_known_bytes_after_removal_and_304_edges(spark):
+    queue, got, edges = cases.crawled(spark, "new-only")
+    assert {r.url for r in got.collect()} == {"https://x.de/s"}
+    up = merge.intern(spark.createDataFrame([(7, "b")], "id long, name string"), spark.createDataFrame([("a",), ("ü",), ("b",), ("c",), ("a",), (None,)], "name string"), "name")
+    assert {(r.name, r.id) for r in up.collect()} == {("b", 7), ("a", 8), ("c", 9), ("ü", 10)}
+
+
+def test_pdf_seam():
+    doc = pages.extract_pdf(b"x", lambda b: "# Title\n\n- *one* two", lambda b: "Untitled")
+    assert doc["title"] == "Title" and doc["text"].split() == ["Title", "one", "two"]
+    assert pages.extract_pdf(b"x", lambda b: "text only", lambda b: "Microsoft Word - a.doc")["title"] is None and pages.extract_pdf(b"x", lambda b: " ") is None
+
+
+def test_robots_in_domain(spark):
+    robots = spark.createDataFrame([("https://x.de/robots.txt", bytearray(b"Sitemap: https://a.x.de/s.xml\nSitemap: https://y.de/s.xml"))], "url string, data binary")
+    assert sitemap.seeds_of(spark, "https://x.de", "x.de", lambda t: robots.join(t, "url")) == ["https://x.de/sitemap.xml", "https://a.x.de/s.xml"]
+    data = spark.createDataFrame([("s", bytearray(b"<url><loc>https://x.de/a</loc><lastmod>2025</lastmod></url><url><loc>https://x.de/a</loc><lastmod>2024</lastmod></url><url><loc>https://y.de/a</loc></url>"))], "url string, data binary")
+    assert [(r.url, r.lastmod) for r in sitemap.discover(spark, ["s"], lambda t: data.join(t, "url"), lambda n, k, df: df, domain="x.de").collect()] == [("https://x.de/a", "2024")]

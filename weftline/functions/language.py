@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +13,17 @@ WORDS = {
     "es": "el la de que y en los del las por con una para es se no al lo como más su un sus pero".split(),
     "fr": "le la les de des et est un une pour dans que qui pas sur au avec ce il sont nous vous par du".split(),
 }
+_SETS = {k: frozenset(v) for k, v in WORDS.items()}
+
+
+def guess(text: str, floor: float = 0.5) -> str | None:
+    """As detect, for one string."""
+    if len(text) < 20:
+        return None
+    words = re.split(r"[^\w]+|[\d_]+", text[:10000].lower())
+    hits = {k: sum(w in v for w in words) for k, v in _SETS.items()}
+    best = max(sorted(hits), key=hits.get)
+    return best if hits[best] > floor * sum(hits.values()) else None
 
 
 def _among(words: list[str]):

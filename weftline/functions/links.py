@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from html.entities import html5
 from html.parser import HTMLParser
 from urllib.parse import quote, urljoin, urlsplit, urlunsplit
 
@@ -32,6 +34,15 @@ def absolute(base: str, href: str) -> str | None:
         return None
 
 
+_NAMED = re.compile(r"&([A-Za-z][A-Za-z0-9]*)(;|(?==)|)")
+
+
+def _reference(m: re.Match) -> str:
+    """A named reference as attributes read it: one without a semicolon before a letter, digit or = is plain text."""
+    known = f"{m[1]};" in html5 if m[2] else m[1] in html5 and m.string[m.end() : m.end() + 1] != "="
+    return m[0] if known else "&amp;" + m[0][1:]
+
+
 class _Anchors(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -50,7 +61,7 @@ def links_of(html: str | None, base: str | None) -> list[str]:
         return []
     p = _Anchors()
     try:
-        p.feed(html)
+        p.feed(_NAMED.sub(_reference, html))
         p.close()
     except AssertionError:  # the parser's word for markup that it can't go on with; links so far count
         pass

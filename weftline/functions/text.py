@@ -15,7 +15,7 @@ SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 @F.pandas_udf(T.StringType())
 def _nfc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+    return s.map(lambda x: x if x is None or x.isascii() or unicodedata.is_normalized("NFC", x) else unicodedata.normalize("NFC", x))
 
 
 def trimmed(c: Column) -> Column:

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 _URL = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 TRAP_LABELS = ("buchen", "moodle", "elearning")
-TRAP_KEYS = ("forcedownload", "replytocom", "tx_dhbwcontent[accordioncontainer]", "tx_solr")
+TRAP_KEYS = ("forcedownload", "replytocom", "tx_solr")
+#: Query keys that unfold a page's accordions, whatever extension made them.
+TRAP_KEY_PATTERN = r"^tx_[a-z0-9]+content\[accordioncontainer\]"
 TRAP_PATHS = ("/calendar/view.php",)
-_BINARY = "zip gz tar 7z rar exe dmg iso mp3 mp4 avi mov wav jpg jpeg png gif svg webp ico css js woff woff2 ttf doc docx xls xlsx ppt pptx".split()
+_BINARY = "7z avi bmp css doc docx eot gif gz ico jpeg jpg js json mov mp3 mp4 ogg png ppt pptx rar svg tar ttf wav webp woff woff2 xls xlsx zip".split()
 
 
 def netloc(url: Column) -> Column:
-    """Authority with its port, case kept."""
-    return F.regexp_extract(url, _URL, 1)
+    """Lower-case authority with its port."""
+    return F.lower(F.regexp_extract(url, _URL, 1))
 
 
 def host(url: Column) -> Column:
@@ -64,7 +66,7 @@ def is_trap(url: Column) -> Column:
     def trapped(pair: Column) -> Column:
         raw = F.split_part(pair, F.lit("="), F.lit(1))
         key = F.lower(F.coalesce(F.try_url_decode(raw), raw))
-        out = F.lit(False)
+        out = key.rlike(TRAP_KEY_PATTERN)
         for k in TRAP_KEYS:
             out = out | F.startswith(key, F.lit(k))
         return out
@@ -80,7 +82,7 @@ def route_kind(content_type: Column, url: Column) -> Column:
     """pdf, html or other, by type first and suffix second."""
     m, p = mime_essence(F.coalesce(content_type, F.lit(""))), F.lower(path(url))
     return (
-        F.when((m == "application/pdf") | F.endswith(p, F.lit(".pdf")), "pdf")
+        F.when(m.contains("pdf") | F.endswith(p, F.lit(".pdf")), "pdf")
         .when(m.contains("html") | m.contains("xml") | m.startswith("text/"), "html")
         .when(m != "", "other")
         .when(p.rlike(r"\.(" + "|".join(_BINARY) + ")$"), "other")

@@ -111,9 +111,17 @@ def backfill(snapshot: DataFrame, log: DataFrame, language) -> DataFrame:
     ).select(*snapshot.columns)
 
 
+#: Hexadecimal digits that new values are told apart by before they are numbered.
+BUCKET_DIGITS = 64
+
+
 def intern(known: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """known (id, name) and the new values of name, numbered on in order; the numbering window holds new values only."""
+    """known (id, name) and the new values of name, numbered on in order of their bytes. One task sees a row for each bucket of BUCKET_DIGITS / 2 first bytes, none sees all values."""
     fresh = values.select(name).where(F.col(name).isNotNull()).distinct().join(known, name, "left_anti")
     top = known.agg(F.coalesce(F.max("id"), F.lit(0)).cast("bigint").alias("top"))
-    numbered = fresh.crossJoin(F.broadcast(top)).select((F.col("top") + F.row_number().over(W.orderBy(name))).cast("bigint").alias("id"), name)
+    # values are ordered within buckets of their first characters; a bucket's numbers begin behind those of the buckets before it
+    bucket = fresh.withColumn("bucket", F.substring(F.hex(F.encode(name, "utf-8")), 1, BUCKET_DIGITS))
+    sizes = bucket.groupBy("bucket").agg(F.count("*").alias("size"))
+    begins = sizes.withColumn("begin", F.sum("size").over(W.orderBy("bucket").rowsBetween(W.unboundedPreceding, -1))).select("bucket", F.coalesce("begin", F.lit(0)).alias("begin"))
+    numbered = bucket.join(begins, "bucket").crossJoin(F.broadcast(top)).select((F.col("top") + F.col("begin") + F.row_number().over(W.partitionBy("bucket").orderBy(name))).cast("bigint").alias("id"), name)
     return known.select(F.col("id").cast("bigint").alias("id"), name).unionByName(numbered)

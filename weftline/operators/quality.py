@@ -35,6 +35,7 @@ def reject_reason(text: Column, markdown: Column | None = None, min_words: int =
     """'ok' or why a document doesn't join the corpus."""
     t = trimmed(F.coalesce(text, F.lit("")))
     n = word_count(t)
+    # markers count in short texts only; a text of over 120 words has more than 240 characters, and few texts have links
     category = boilerplate(t)
     out = F.when(t == "", "empty").when(n < min_words, F.format_string("too short: %d words", n)).when((n < 120) & category.isNotNull(), F.concat(F.lit("boilerplate/"), category))
     if markdown is not None:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls
 
-BUCKETS = (0, 50, 100, 250, 500, 1000, 2500, 10000)
+BUCKETS = (0, 50, 100, 250, 500, 1000, 2500, 5000)
 PERCENTS = (10, 25, 50, 75, 90, 99)
 
 
@@ -55,12 +55,12 @@ def coverage(queue: DataFrame, docs: DataFrame, sites: list[str]) -> DataFrame:
 
 
 def error_breakdown(log: DataFrame, most: int = 6) -> DataFrame:
-    """(site, errors, statuses): the most frequent statuses of each site's errors as text."""
+    """(site, errors, statuses): the most frequent statuses of each site's errors as text, such as 404:3, sites with most errors first."""
     n = log.where("outcome = 'error'").groupBy("site", F.coalesce("status", F.lit(0)).alias("status")).agg(F.count("*").alias("n"))
     w = W.partitionBy("site")
     n = n.withColumn("k", F.row_number().over(w.orderBy(F.desc("n"), "status"))).withColumn("errors", F.sum("n").over(w)).where(F.col("k") <= most)
-    shown = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "status", "n"))), lambda x: F.concat(x["status"].cast("string"), F.lit(" x"), x["n"].cast("string"))), ", ")
-    return n.groupBy("site").agg(F.first("errors").alias("errors"), shown.alias("statuses"))
+    shown = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "status", "n"))), lambda x: F.concat(x["status"].cast("string"), F.lit(":"), x["n"].cast("string"))), ", ")
+    return n.groupBy("site").agg(F.first("errors").alias("errors"), shown.alias("statuses")).orderBy(F.desc("errors"), "site")
 
 
 def link_totals(edges: DataFrame) -> DataFrame:
@@ -82,6 +82,68 @@ def totals(docs: DataFrame) -> DataFrame:
     return g.withColumn("average", F.col("words") / F.col("docs"))
 
 
+def host_table(queue: DataFrame, n: int = 25) -> DataFrame:
+    """(host, urls, done, error, pending) of the n hosts, with port, that have most URLs."""
+    t = pivot_states(queue, urls.netloc(F.col("url")), "host").withColumnRenamed("total", "urls").drop("in_progress")
+    return t.orderBy(F.desc("urls"), "host").limit(n)
+
+
+def word_range(docs: DataFrame, min_words: int = 50) -> DataFrame:
+    """(n, least, most, below): live documents, the range of their words, and how many are under min_words."""
+    w = F.col("word_count")
+    return docs.where("present").agg(F.count("*").alias("n"), F.coalesce(F.min(w), F.lit(0)).alias("least"), F.coalesce(F.max(w), F.lit(0)).alias("most"), F.count_if(w < min_words).alias("below"))
+
+
+def freshness(queue: DataFrame, docs: DataFrame, raw: DataFrame) -> DataFrame:
+    """(what, first, last): ranges of the stamps of the queue, the documents and the raw blobs; empty text without any."""
+    one = lambda t, c, name: t.agg(F.lit(name).alias("what"), F.coalesce(F.min(c), F.lit("")).alias("first"), F.coalesce(F.max(c), F.lit("")).alias("last"))
+    return one(queue, "first_seen_at", "queue_first_seen").unionByName(one(docs, "updated_at", "documents_updated")).unionByName(one(raw, "first_seen_at", "raw_first_seen"))
+
+
+def raw_by_type(raw: DataFrame) -> DataFrame:
+    """(source_type, n, bytes)."""
+    return raw.groupBy("source_type").agg(F.count("*").alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
+
+
+def raw_totals(raw: DataFrame) -> DataFrame:
+    """(raw, bytes, quality_ok, quality_bad, errored, pending)."""
+    return raw.agg(
+        F.count("*").alias("raw"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"), F.count_if("quality_ok").alias("quality_ok"), F.count_if(~F.col("quality_ok")).alias("quality_bad"), F.count_if(F.col("extract_error").isNotNull()).alias("errored"),
+        F.count_if(F.col("extract_state") == "pending").alias("pending"),
+    )
+
+
+def candidates(queue: DataFrame, raw: DataFrame) -> DataFrame:
+    """(candidates): present URLs whose blob passed the gate."""
+    return queue.where("present").join(raw.where("quality_ok").select("content_sha256"), "content_sha256").agg(F.count("*").alias("candidates"))
+
+
+def extract_errors(raw: DataFrame, n: int = 12) -> DataFrame:
+    return top(raw.where("extract_error is not null"), F.col("extract_error"), "error", n, 140)
+
+
+def statuses(log: DataFrame, n: int = 12) -> DataFrame:
+    """(status, n), a missing status as 0."""
+    return top(log, F.coalesce("status", F.lit(0)), "status", n)
+
+
+def errors(log: DataFrame, n: int = 10) -> DataFrame:
+    return top(log.where("error is not null and error <> ''"), F.col("error"), "error", n, 100)
+
+
+def by_class(docs: DataFrame, column: str) -> DataFrame:
+    """(column, n) of live documents that have one."""
+    return docs.where("present").where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+
+
+def state_counts(queue: DataFrame, docs: DataFrame, raw: DataFrame) -> DataFrame:
+    """One row: URLs pending, done, with errors, present and removed; blobs pending; documents live, removed and unclassified."""
+    q = queue.agg(*(F.count_if(F.col("work_state") == s).alias(f"queue_{s}") for s in ("pending", "done", "error")), F.count_if("present").alias("urls_present"), F.count_if(~F.col("present")).alias("urls_removed"))
+    r = raw.agg(F.count_if(F.col("extract_state") == "pending").alias("raw_pending"))
+    d = docs.agg(F.count_if("present").alias("documents"), F.count_if(~F.col("present")).alias("documents_removed"), F.count_if(F.col("present") & F.col("department").isNull()).alias("unclassified"))
+    return q.crossJoin(F.broadcast(r)).crossJoin(F.broadcast(d))  # one row each
+
+
 def findings(sites: DataFrame, documents: int, below: int, min_words: int, links: dict) -> list[dict]:
     """Ranked findings on the report's rows, which are one for each site."""
     rows, out = [r.asDict() for r in sites.collect()], []
@@ -90,11 +152,11 @@ def findings(sites: DataFrame, documents: int, below: int, min_words: int, links
     thin = {r["site"] for r in rows if mid and r["docs"] < max(200, 0.15 * mid)}
     for r in rows:
         if r["site"] in thin:
-            out.append(("crit" if r["docs"] < 0.05 * mid else "warn", f"{r['site']} is under-covered", f"{r['docs']:,} documents; the median of all sites is {mid:,}"))
+            out.append(("crit" if r["docs"] < 0.05 * mid else "warn", f"{r['site']} is under-covered", f"{r['docs']:,} documents; the median of all sites is {mid:,}; {r['error']:,} queue errors, {r['error_rate']:.0%} of attempts"))
     if below:
         out.append(("warn", f"{below:,} documents below min_words={min_words}", f"{below / max(1, documents):.0%} of the corpus"))
     if documents and links["distinct_src"] < 0.5 * documents:
-        out.append(("warn", "Link graph is largely unpopulated", f"{links['total']:,} edges from {links['distinct_src']:,} pages"))
+        out.append(("warn", "Link graph is largely unpopulated", f"{links['total']:,} edges from {links['distinct_src']:,} pages; {links.get('docs_no_out', 0):,} of {documents:,} documents have none"))
     out += [("info", f"{r['site']} has elevated fetch errors", f"{r['error']:,} URLs, {r['error_rate']:.0%} of attempts") for r in rows if r["site"] not in thin and r["error"] >= 100 and r["error_rate"] > 0.1]
     order = {"crit": 0, "warn": 1, "info": 2}
     return [dict(zip(("sev", "title", "detail"), x)) for x in sorted(out, key=lambda x: order[x[0]])] or [{"sev": "ok", "title": "No issues detected", "detail": "Coverage, extraction and links look healthy."}]

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import language, links, text, urls
 from ..operators import crawl, merge, quality, stats, taxonomy, tree
 from ..sources import sitemap
+from . import cases, report
 
 NOW, THEN = "2026-01-02T00:00:00", "2026-01-01T00:00:00"
 RULES = taxonomy.Taxonomy(
@@ -65,9 +66,9 @@ def word_count_hist(spark, sf):
 
 
 def _hist_sql() -> str:
-    ends = [*stats.BUCKETS[1:], None]
-    rows = " UNION ALL ".join(f"SELECT '{a}-{b - 1}' AS bucket, {a}::INT AS low, count(*) FILTER (n >= {a} AND n < {b}) AS n FROM w" if b else f"SELECT '{a}+' AS bucket, {a}::INT AS low, count(*) FILTER (n >= {a}) AS n FROM w" for a, b in zip(stats.BUCKETS, ends))
-    return f"WITH w AS (SELECT {_WORDS} AS n FROM documents) {rows}"
+    # bounds by hand, so that a wrong constant shows
+    return f"""WITH w AS (SELECT {_WORDS} AS n FROM documents), b(bucket, low, high) AS (VALUES ('0-49', 0, 50), ('50-99', 50, 100), ('100-249', 100, 250), ('250-499', 250, 500), ('500-999', 500, 1000), ('1000-2499', 1000, 2500),
+        ('2500-4999', 2500, 5000), ('5000+', 5000, 2000000000)) SELECT bucket, low::INT AS low, (SELECT count(*) FROM w WHERE n >= low AND n < high) AS n FROM b"""
 
 
 def word_percentiles(spark, sf):
@@ -130,7 +131,8 @@ def host_states(spark, sf):
 
 
 def top_hosts(spark, sf):
-    return stats.top(_t(spark, sf, "pages"), urls.host(F.col("url")), "host", 25)
+    p = _t(spark, sf, "pages").withColumn("work_state", F.element_at(F.array(F.lit("done"), F.lit("error"), F.lit("pending")), (F.col("page_id") % 3 + 1).cast("int")))
+    return stats.host_table(p)
 
 
 def crawl_outcomes(spark, sf):
@@ -203,8 +205,8 @@ def delta_deletions(spark, sf):
 
 
 def retire_duplicates(spark, sf):
-    a, _ = _snapshots(spark, sf)
-    s = a.selectExpr("*", "true present", "1 revision", f"'{THEN}' first_indexed_at", f"'{THEN}' updated_at")
+    d = _docs(spark, sf).withColumn("text_sha256", F.lit(None).cast("string"))
+    s = d.select("url", "text", "text_sha256").selectExpr("*", "true present", "1 revision", f"'{THEN}' first_indexed_at", f"'{THEN}' updated_at")
     return merge.retire_duplicates(s, NOW).select("url", "present", "updated_at")
 
 
@@ -215,7 +217,7 @@ def budget_admission(spark, sf):
 
 def enqueue(spark, sf):
     p = _t(spark, sf, "pages").select("url", "page_id")
-    found = p.where("page_id % 2 = 0").select("url", F.lit("s").alias("site"), F.lit(None).cast("string").alias("discovered_from"), F.lit(1).alias("depth"))
+    found = p.select("url", F.lit("s").alias("site"), F.lit(None).cast("string").alias("discovered_from"), F.lit(1).alias("depth"))
     return crawl.enqueue(p.where("page_id % 3 = 0"), found.unionByName(found)).select("url", "depth", "work_state")
 
 
@@ -267,7 +269,7 @@ def discovery_tree(spark, sf):
 
 def sitemap_entries(spark, sf):
     x = _t(spark, sf, "pages").select(F.concat(F.lit("<urlset><url><loc>"), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("</loc><lastmod>"), F.col("page_id").cast("string"), F.lit("</lastmod></url></urlset>")).alias("xml"))
-    return sitemap.entries(x)
+    return sitemap.entries(x).select("url", "lastmod")
 
 
 def url_interning(spark, sf):
@@ -295,20 +297,23 @@ ORACLES: dict[str, str] = {
     "link_totals": f"WITH {_HREFS} SELECT count(*) AS total, count(*) AS in_domain, 0::BIGINT AS external, count(DISTINCT src) AS distinct_src FROM e",
     "docs_without_links": f"WITH {_HREFS} SELECT page_id, url FROM pages WHERE url NOT IN (SELECT src FROM e)",
     "host_states": f"SELECT {_HOST} AS host, count(*) AS total, count(*) FILTER (page_id % 3 = 0) AS done, count(*) FILTER (page_id % 3 = 1) AS error, count(*) FILTER (page_id % 3 = 2) AS pending, 0::BIGINT AS in_progress FROM pages GROUP BY 1",
-    "top_hosts": f"SELECT {_HOST} AS host, count(*) AS n FROM pages GROUP BY 1 ORDER BY n DESC, host LIMIT 25",
+    "top_hosts": "SELECT lower(regexp_extract(url, '^[a-zA-Z]+://([^/?#]*)', 1)) AS host, count(*) AS urls, count(*) FILTER (page_id % 3 = 0) AS done, count(*) FILTER (page_id % 3 = 1) AS error, count(*) FILTER (page_id % 3 = 2) AS pending FROM pages GROUP BY 1 ORDER BY urls DESC, host LIMIT 25",
     "crawl_outcomes": "SELECT event_type AS outcome, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, outcome NULLS FIRST LIMIT 12",
     "transient_retry": f"WITH {_LOG} SELECT status::INT AS status, status IN (0, 408, 429) OR status BETWEEN 500 AND 599 AS transient, count(*) AS n FROM log GROUP BY 1, 2",
-    "error_breakdown": f"WITH {_LOG}, g AS (SELECT site, status, count(*) AS n FROM log GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY n DESC, status) AS k, sum(n) OVER (PARTITION BY site) AS errors FROM g) SELECT site, any_value(errors)::BIGINT AS errors, string_agg(status || ' x' || n, ', ' ORDER BY k) AS statuses FROM k WHERE k <= 6 GROUP BY site",
+    "error_breakdown": f"WITH {_LOG}, g AS (SELECT site, status, count(*) AS n FROM log GROUP BY 1, 2), k AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY n DESC, status) AS k, sum(n) OVER (PARTITION BY site) AS errors FROM g) SELECT site, any_value(errors)::BIGINT AS errors, string_agg(status || ':' || n, ', ' ORDER BY k) AS statuses FROM k WHERE k <= 6 GROUP BY site",
     "change_detect": f"WITH {_SNAP} SELECT coalesce(a.url, b.url) AS url, CASE WHEN a.url IS NULL THEN 'new' WHEN b.url IS NULL THEN 'removed' WHEN a.text = b.text THEN 'unchanged' ELSE 'changed' END AS outcome FROM a FULL JOIN b ON a.url = b.url",
     "document_upsert": f"WITH {_UPSERT} SELECT * FROM s",
     "delta_upserts": f"WITH {_UPSERT} SELECT url, revision, updated_at FROM s WHERE present AND updated_at > '{THEN}'",
     "delta_deletions": f"WITH {_UPSERT} SELECT url, updated_at FROM s WHERE NOT present AND updated_at > '{THEN}'",
-    "retire_duplicates": f"WITH {_SNAP}, k AS (SELECT url, row_number() OVER (PARTITION BY sha256({_H}) ORDER BY {_PARAMS}, length(url), url) AS k FROM a) SELECT url, k = 1 AS present, CASE WHEN k = 1 THEN '{THEN}' ELSE '{NOW}' END AS updated_at FROM k",
+    "retire_duplicates": f"WITH {_DEDUP} SELECT url, k = 1 AS present, CASE WHEN k = 1 THEN '{THEN}' ELSE '{NOW}' END AS updated_at FROM k",
     "budget_admission": f"WITH p AS (SELECT url, (page_id % 4)::VARCHAR AS site, {_HOST} AS host, length(regexp_replace(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '[^/]', '', 'g'))::INT AS depth FROM pages), h AS (SELECT *, row_number() OVER (PARTITION BY site, host ORDER BY depth, url) AS k FROM p), s AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY depth, url) AS q FROM h WHERE k <= 20) SELECT site, host, url, depth FROM s WHERE q <= 2000",
-    "enqueue": "SELECT url, 1 AS depth, 'pending' AS work_state FROM pages WHERE page_id % 2 = 0 AND url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0) GROUP BY url",
+    "enqueue": "SELECT url, 1 AS depth, 'pending' AS work_state FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0) GROUP BY url",
     "classify": _classify_sql(),
+    "title_from_url": "WITH b AS (SELECT page_id, string_split(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1), '/')[-1] AS base FROM pages), s AS (SELECT page_id, trim(regexp_replace(translate(regexp_replace(url_decode(base), '([^.])\\.[^.]*$', '\\1'), '_-', '  '), '\\s+', ' ', 'g')) AS t FROM b) SELECT page_id, CASE WHEN t <> '' THEN t END AS title FROM s",
     "totals": f"WITH w AS (SELECT lang AS source_type, {_WORDS} AS n FROM documents) SELECT source_type, count(*) AS docs, sum(n)::BIGINT AS words, max(n)::INT AS longest, sum(n)::DOUBLE / count(*) AS average FROM w GROUP BY 1",
     "coverage": f"WITH w AS (SELECT source AS site, doc_id % 3 AS m, {_WORDS} AS n FROM documents) SELECT site, count(*) AS total, count(*) FILTER (m = 0) AS done, count(*) FILTER (m = 1) AS error, count(*) FILTER (m = 2) AS pending, count(*) AS docs, sum(n)::BIGINT AS words, round(CASE WHEN count(*) FILTER (m < 2) > 0 THEN count(*) FILTER (m = 1)::DOUBLE / count(*) FILTER (m < 2) ELSE 0 END, 6) AS error_rate FROM w GROUP BY 1",
     "sitemap_entries": "SELECT trim(url) AS url, page_id::VARCHAR AS lastmod FROM pages",
     "url_interning": "WITH k AS (SELECT page_id + 1 AS id, url FROM pages WHERE page_id < 10), n AS (SELECT DISTINCT url FROM pages WHERE url NOT IN (SELECT url FROM k)) SELECT id, url FROM k UNION ALL SELECT (SELECT max(id) FROM k) + row_number() OVER (ORDER BY url), url FROM n",
 }
+QUERIES |= report.QUERIES | cases.QUERIES
+ORACLES |= report.ORACLES | cases.ORACLES

@@ -1,4 +1,4 @@
-"""Conditional GET as a DataFrame operator: (url, etag, last_modified) to fetch results. One connection pool for each partition."""
+"""Conditional GET as a DataFrame operator: (url, etag, last_modified) to fetch results. Each URL has a connection of its own."""
 
 from __future__ import annotations
 
