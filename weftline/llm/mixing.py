@@ -61,11 +61,17 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, max_ep
     if len(rows) <= MOST_BROADCAST:
         rates = F.broadcast(docs.sparkSession.createDataFrame(rows, "wl_source string, wl_rate double"))
     d = docs.drop("repetition")
-    joined = d.join(rates, d["source"].cast("string").eqNullSafe(rates["wl_source"]))
-    times = F.floor("wl_rate") + F.when(unit_draw(seed, F.col("doc_id")) < F.col("wl_rate") - F.floor("wl_rate"), 1).otherwise(0)
+    # names that no column of the input has
+    own = "wl_"
+    while any(c.lower().startswith(own) for c in d.columns):
+        own += "_"
+    name, rate, n = f"{own}source", F.col(f"{own}rate"), f"{own}times"
+    rates = rates.toDF(name, f"{own}rate")
+    joined = d.join(rates, d["source"].cast("string").eqNullSafe(rates[name]))
+    times = F.floor(rate) + F.when(unit_draw(seed, F.col("doc_id")) < rate - F.floor(rate), 1).otherwise(0)
     return (
-        joined.withColumn("wl_times", times.cast("int")).where("wl_times > 0")
-        .withColumn("repetition", F.explode(F.sequence(F.lit(0), F.col("wl_times") - 1)))
+        joined.withColumn(n, times.cast("int")).where(F.col(n) > 0)
+        .withColumn("repetition", F.explode(F.sequence(F.lit(0), F.col(n) - 1)))
         .select(*d.columns, "repetition")
     )
 
