@@ -339,6 +339,12 @@ def test_html_pages_awkward(spark):
     assert html_density.extract_pages(p).count() == 4 and html_density.extract_pages(p.where("false")).count() == 0
 
 
+def test_mixing_keeps_clashing_columns(spark):
+    d = spark.createDataFrame([(1, "x", "s", "mine", 7, 8)], "doc_id long, text string, source string, wl_source string, wl_rate int, repetition int")
+    r = mixing.mix_sources(d, None).collect()
+    assert [(x.wl_source, x.wl_rate, x.repetition) for x in r] == [("mine", 7, 0)]
+
+
 def test_mixing_levels(spark):
     d = spark.createDataFrame([(i, "x" * 100, "en", s, None) for s, n in (("a", 10), ("b", 100), ("c", 400)) for i in range(n)], DOC)
     rates = {r.wl_source: r.wl_rate for r in mixing.source_rates(d, {"a": 1.0, "b": 1.0, "c": 1.0}, 2.0).collect()}

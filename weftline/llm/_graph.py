@@ -87,7 +87,7 @@ def links_of(x: np.ndarray, y: np.ndarray, names: np.ndarray, weights: np.ndarra
 
 def sized(nodes: DataFrame) -> DataFrame:
     """(node, rep, size): the least doc_id and the number of documents of each content; nodes are (doc_id, node) without repeated rows."""
-    return nodes.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"), *([F.max("octets").alias("octets")] if "octets" in nodes.columns else []))
+    return nodes.groupBy("node").agg(F.min("doc_id").alias("rep"), F.count("*").alias("size"), *(F.max(c).alias(c) for c in ("octets", "chars") if c in nodes.columns))
 
 
 def verified(

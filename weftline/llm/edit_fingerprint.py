@@ -9,7 +9,7 @@ class has the next one as well); the fingerprint of a document is its BINS bands
 
 Texts of PLAIN characters or more are candidates if they agree in AGREE bands, shorter ones in one, and if the lengths
 of what is before and behind the anchors allow it. Candidate pairs are never sent: a task reports a forest of those of its bands, and the texts of
-a connected group meet (in blocks, if there are more than BLOCK_BYTES of them), where every pair of the group with so many bands in
+a connected group meet (by classes of length and in blocks, if there are more than BLOCK_BYTES of them), where every pair of the group with so many bands in
 common is decided exactly: its edit distance is at most floor(rate * length of the longer text), in characters, or not; most_edits,
 if it is given, caps the limit. In large groups distances to a few texts decide most pairs by the triangle
 inequality; what it leaves open is worked out pair by pair.
@@ -54,8 +54,8 @@ HELD_BYTES = 48 << 20
 PLAIN = 204
 #: Ratio of the lengths in a class.
 CLASS_RATIO = 1.35
-#: Text of a connected group that is compared in one task; more is cut into blocks by hash, each pair of which is a task.
-BLOCK_BYTES = 1 << 20
+#: Text of a connected group that is compared in one task; more is cut by length, and then into blocks by hash.
+BLOCK_BYTES = 2 << 20
 #: Texts of small groups that are compared side by side.
 SIDE_BYTES = 1 << 20
 #: Bands that texts of PLAIN characters or more have to agree in.
@@ -545,16 +545,26 @@ def decided(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits: np.nd
 
 
 def _links(docs: DataFrame, each: DataFrame, home: DataFrame, samples: int, most_edits: int | None, rate: float, parts: int) -> DataFrame:
-    """Rows of LINKS for the pairs of nodes of one component that have bands in common and are within the limit. docs: (doc_id, node, text); each: (node, rep, size, octets)."""
+    """Rows of LINKS for the pairs of nodes of one component that have bands in common and are within the limit. docs: (doc_id, node, text); each: (node, rep, size, octets, chars).
+
+    A component of more than BLOCK_BYTES is cut by classes of length, as bands are, and a pair is compared in the class of its longer text; a class that is
+    still larger is cut into blocks by hash, each pair of which is a task.
+    """
+    ratio = float(np.log(max(CLASS_RATIO, 1.2 / (1 - rate))))
+    most = F.floor((F.col("chars") + 1) / F.lit(1 - rate))
+    most = most if most_edits is None else F.least(most, F.col("chars") + most_edits)
+    low, high = (F.floor(F.log(F.greatest(x, F.lit(1))) / ratio) for x in (F.col("chars"), most))
     some = each.join(home, "node")
-    large = some.groupBy("component").agg(F.sum("octets").alias("octets")).where(F.col("octets") > BLOCK_BYTES).select("component", F.ceil(F.col("octets") / BLOCK_BYTES).alias("blocks"))
-    block = F.pmod(F.xxhash64(F.lit(11), "node"), F.col("blocks"))
+    large = some.groupBy("component").agg(F.sum("octets").alias("total")).where(F.col("total") > BLOCK_BYTES).select("component", F.lit(True).alias("large"))
+    some = some.join(large, "component", "left").withColumn("class", F.explode(F.when(F.col("large"), F.sequence(low, high)).otherwise(F.array(F.lit(-1).cast("bigint")))))
+    some = checkpointed(some.select("component", "class", F.col("rep").alias("doc_id"), "node", "size", "octets", (F.col("large").isNull() | (F.col("class") == low)).alias("own")))
+    blocks = some.where("class >= 0").groupBy("component", "class").agg(F.sum("octets").alias("octets")).where(F.col("octets") > BLOCK_BYTES).select("component", "class", F.ceil(F.col("octets") / BLOCK_BYTES).alias("blocks"))
     other = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    key = F.when(F.col("blocks").isNull(), F.xxhash64("component")).otherwise(F.xxhash64("component", F.least("block", "other"), F.greatest("block", "other")))
-    some = some.join(large, "component", "left").withColumn("block", block).withColumn("other", F.explode(other))
-    some = checkpointed(some.select(F.col("rep").alias("doc_id"), "node", "size", key.alias("key"), F.when(F.col("blocks").isNull() | (F.col("block") == F.col("other")), F.lit(-1)).otherwise(F.col("block")).alias("block")))
-    own = semi_join(docs, some.select("doc_id", "node").distinct(), ["doc_id", "node"]).join(some, ["doc_id", "node"])
-    rows = own.select(F.pmod("key", F.lit(parts)).cast("int").alias("part"), "key", "block", "node", "size", "text").repartitionById(parts, F.col("part")).sortWithinPartitions("key")
+    key = F.when(F.col("blocks").isNull(), F.xxhash64("component", "class")).otherwise(F.xxhash64("component", "class", F.least("block", "other"), F.greatest("block", "other")))
+    some = some.join(blocks, ["component", "class"], "left").withColumn("block", F.pmod(F.xxhash64(F.lit(11), "node"), F.col("blocks"))).withColumn("other", F.explode(other))
+    some = checkpointed(some.select("doc_id", "node", "size", "own", key.alias("key"), F.when(F.col("blocks").isNull() | (F.col("block") == F.col("other")), F.lit(-1)).otherwise(F.col("block")).alias("block")))
+    texts_of = semi_join(docs, some.select("doc_id", "node").distinct(), ["doc_id", "node"]).join(some, ["doc_id", "node"])
+    rows = texts_of.select(F.pmod("key", F.lit(parts)).cast("int").alias("part"), "key", "block", "node", F.when(F.col("own"), F.col("size")).otherwise(-F.col("size")).alias("size"), "text").repartitionById(parts, F.col("part")).sortWithinPartitions("key")
 
     def solve(group: np.ndarray, block: np.ndarray, node: np.ndarray, size: np.ndarray, blobs: list[bytes]) -> pa.RecordBatch | None:
         """Links of the texts of several groups."""
@@ -584,7 +594,8 @@ def _links(docs: DataFrame, each: DataFrame, home: DataFrame, samples: int, most
         while start < len(order):
             to = max(start + 1, int(np.searchsorted(total, (total[start - 1] if start else 0) + (1 << 19), "right")))
             i, j = np.repeat(np.arange(start, to), n[start:to]), take_ranges(np.arange(start, to) + 1, n[start:to])
-            ok = (block[i] == -1) | (block[i] != block[j])
+            # of texts that were sent from the class below, the size is negative: they are no pair's longer text
+            ok = ((block[i] == -1) | (block[i] != block[j])) & (size[j] > 0)
             i, j = i[ok], j[ok]
             long = (length[i] >= PLAIN) & (length[j] >= PLAIN)
             ok = np.zeros(len(i), bool)
@@ -598,7 +609,7 @@ def _links(docs: DataFrame, each: DataFrame, home: DataFrame, samples: int, most
         i, j = (np.concatenate(x) for x in zip(*pairs))
         limits = edit_limit(np.maximum(length[i], length[j]), most_edits, rate)
         ok = decided(texts, i, j, limits)
-        return links_of(i[ok], j[ok], node, size)
+        return links_of(i[ok], j[ok], node, np.abs(size))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, octets, last = [], 0, None
@@ -631,7 +642,7 @@ def edit_links(docs: DataFrame, most_edits: int | None = None, rate: float = 0.0
     """(doc_id, class_id, n_links) of every document that another one is within the limit of."""
     parts = shuffle_partitions(docs.sparkSession)
     src = docs.where("doc_id is not null and text is not null and text <> ''").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("node"), "text")
-    nodes = checkpointed(src.select("doc_id", "node", F.octet_length("text").alias("octets")).distinct())
+    nodes = checkpointed(src.select("doc_id", "node", F.octet_length("text").alias("octets"), F.length("text").alias("chars")).distinct())
     each = sized(nodes)
     home = checkpointed(components(checkpointed(_forest(_bands(src.select("node", "text"), samples, most_edits, rate, parts), most_edits, rate, parts))))
     links = checkpointed(_links(src, each, home, samples, most_edits, rate, parts))
