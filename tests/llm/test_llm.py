@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -334,6 +335,75 @@ def test_html_raw_elements_end_at_their_own_tag(inside, end):
     assert html_density.extract(f"<body><p>before</p><script>{inside}{end}<p>middle</p><script>{inside}{end}tail</body>")[0].split()[-1] == "tail"
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 90_000 + "</b>" * 130_000, "<span>" * 80_000 + "<hr>" * 100_000, "<a " * 300_000, "<div><p>w</p>" * 40_000, "<b><td>" + "<div>" * 80_000 + "</b>" * 100_000],
+    ids=["stray ends", "many to close", "no end", "nested content", "fenced ends"],
+)
+def test_html_time_is_linear(page):
+    start = time.process_time()
+    html_density.extract(page + "tail")
+    assert time.process_time() - start < 10  # quadratic steps take minutes
+
+
+def brute_html(html):
+    """Content text by the definition alone: a tree of plain dictionaries, everything worked out again at every use."""
+    tree, at = {"tag": "body", "parts": []}, 0
+    path = [tree]
+    for m in re.finditer(r"<(/?)(\w+)[^>]*>", html):
+        path[-1]["parts"].append(html[at : m.start()])
+        at = m.end()
+        if m[1]:
+            path.pop()
+        else:
+            path[-1]["parts"].append({"tag": m[2], "parts": []})
+            path.append(path[-1]["parts"][-1])
+    tree["parts"].append(html[at:])
+    kids = lambda x: [p for p in x["parts"] if isinstance(p, dict)]
+    below = lambda x: [y for k in kids(x) for y in (k, *below(k))]
+    count = lambda x: sum(len(p.strip()) for y in (x, *below(x)) for p in y["parts"] if isinstance(p, str))
+    linked = lambda x: count(x) if x["tag"] == "a" else sum(map(linked, kids(x)))
+
+    def density(x):
+        c, t, lc, lt = count(x), len(below(x)) or 1, linked(x), sum(y["tag"] == "a" for y in (x, *below(x))) or 1
+        if not c:
+            return 0.0
+        base = np.log(np.log(c / ((c - lc) or 1) * lc + linked(tree) / count(tree) * c + np.e))
+        inner = np.log(c / (lc or 1) * t / lt)
+        return c / t * (inner / base if base > 1e-9 else inner + 1)
+
+    total = lambda x: sum(map(density, kids(x)))
+    best = lambda x: max((x, *below(x)), key=total)
+    main, marked = best(tree), []
+    limit = min(density(x) for x in (tree, *below(tree)) if x is main or any(y is main for y in below(x)))
+
+    def mark(x):
+        if density(x) >= limit and not any(x is y for y in marked):
+            if total(best(x)) > 0:
+                marked.extend((best(x), *below(best(x))))
+            for k in kids(x):
+                mark(k)
+
+    mark(tree)
+    shown = lambda x: [w for p in x["parts"] for w in (shown(p) if isinstance(p, dict) else p.split() if any(x is y for y in marked) else [])]
+    return shown(tree)
+
+
+def test_html_equals_brute_force():
+    r = random.Random(8)
+
+    def block(depth):
+        if depth == 0 or r.random() < 0.3:
+            return " ".join(r.choices(WORDS, k=r.randint(1, 30)))
+        tag = r.choice(["div", "section", "a"] if depth < 3 else ["div", "section"])
+        return "".join(f"<{tag}>{block(0) if tag == 'a' else block(depth - 1)}</{tag}>" for _ in range(r.randint(1, 4)))
+
+    for _ in range(40):
+        page = "".join(f"<div>{block(3)}</div>" for _ in range(r.randint(1, 5)))
+        # words of neighbouring inline elements have no space between them
+        assert "".join(html_density.extract(page)[0].split()) == "".join(brute_html(page))
+
+
 def test_html_pages_awkward(spark):
     p = spark.createDataFrame([(1, "u", None), (None, None, "<p>x"), (2, "u", ""), (2, "u", "<div>" * 3000)], "page_id long, url string, html string")
     assert html_density.extract_pages(p).count() == 4 and html_density.extract_pages(p.where("false")).count() == 0

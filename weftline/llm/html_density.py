@@ -14,7 +14,8 @@ Where the base is 1 (no links in the page) the logarithm is replaced by 1 + ln(C
 Defined results: null and empty pages give empty text; a page without elements gives its text; a page
 whose body has no element children gives the body's text; ties go to the first element in document order;
 unclosed and stray tags are repaired the way browsers do for p, li, table cells and options; script,
-style, template and comments never count. Rows that repeat give repeated results, null ids stay null. Only the id, url
+style, template, textarea, noscript, iframe, svg and comments never count; a page in which no element is
+content gives all its text. Time is linear in the page, however its tags are nested or left open. Rows that repeat give repeated results, null ids stay null. Only the id, url
 and html columns are read.
 """
 
@@ -39,30 +40,63 @@ _CLOSES = {t: {"p"} for t in "address article aside blockquote div dl fieldset f
 _CLOSES |= {"li": {"li", "p"}, "dd": {"dd", "dt", "p"}, "dt": {"dd", "dt", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"}, "tr": {"tr", "td", "th", "p"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 #: Elements that keep an implied end tag from closing what is outside them.
 _FENCE = {"table", "ul", "ol", "dl", "div", "article", "section", "body", "html", "main", "nav", "td", "th", "blockquote"}
+#: Elements whose start closes every open one of its list, not only the innermost.
+_MANY = {"li", "dd", "dt", "tr", "td", "th", "tbody", "tfoot"}
+#: An end tag reaches out of a cell or table only if it is one of a row or table.
+_CELLS, _ROWS = {"td", "th", "table"}, {"table", "tr", "tbody"}
 _HEAD = {"head", "title", "meta", "link", "base"}
 _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("children", "content", "density", "end", "link_chars", "link_tags", "n", "parent", "parts", "sum", "tag", "tags", "top")
+    __slots__ = ("best", "children", "content", "density", "end", "link_chars", "link_tags", "n", "parent", "parts", "sum", "tag", "tags", "top")
 
     def __init__(self, tag: str, parent: int):
         self.tag, self.parent, self.children, self.parts = tag, parent, [], []
         self.n = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = self.top = 0.0
-        self.content = False
+        self.content, self.best = False, -1
+
+
+class _Open:
+    """Open elements, with the places of each tag, so that finding the innermost of a kind needs no walk."""
+
+    def __init__(self):
+        self.stack: list[int] = [0]
+        self.tags: list[str] = ["body"]
+        self.places: dict[str, list[int]] = {}
+
+    def push(self, node: int, tag: str) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        self.stack.append(node)
+        self.tags.append(tag)
+
+    def cut(self, k: int) -> None:
+        """Closes everything from place k on."""
+        while len(self.stack) > k:
+            self.stack.pop()
+            self.places[self.tags.pop()].pop()
+
+    def last(self, tags) -> int:
+        """Place of the innermost element with one of the tags, 0 if there is none."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
 
 
 def parse(html: str) -> list[Node]:
     """Elements in document order; 0 is body. A node's parts are strings and the indices of its children."""
-    nodes, stack, at, in_head = [Node("body", -1)], [0], 0, False
-    while m := _TOKEN.search(html, at):
+    nodes, opened, at, in_head = [Node("body", -1)], _Open(), 0, False
+    stack = opened.stack
+    # behind the last > nothing can be markup but a comment that never ends; so unclosed tags there are not tried one by one
+    last = html.rfind(">") + 1
+    while m := _TOKEN.search(html, at, last):
         if m.start() > at and not in_head and (s := _SPACE.sub(" ", unescape(html[at : m.start()]))) and s != " ":
             nodes[stack[-1]].parts.append(s)
         elif m.start() > at and not in_head:
             nodes[stack[-1]].parts.append(" ")
         at = m.end()
         if not m[2]:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(html)
             continue
         tag = m[2].lower()
         if tag == "head":
@@ -73,12 +107,9 @@ def parse(html: str) -> list[Node]:
         if tag in ("html", "body") or in_head and tag not in _RAW:
             continue
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if nodes[stack[k]].tag == tag:
-                    del stack[k:]
-                    break
-                if nodes[stack[k]].tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody"):
-                    break
+            k = opened.last((tag,))
+            if k and (tag in _ROWS or k >= opened.last(_CELLS)):
+                opened.cut(k)
             continue
         if tag in _RAW:
             # what is inside is no markup: on to its own end tag, or all the rest if there is none
@@ -87,26 +118,20 @@ def parse(html: str) -> list[Node]:
                 at = end.end() if end else len(html)
             continue
         closes = _CLOSES.get(tag)
-        if closes:
-            for k in range(len(stack) - 1, 0, -1):
-                t = nodes[stack[k]].tag
-                if t in closes:
-                    del stack[k:]
-                    if tag in ("li", "dd", "dt", "tr", "td", "th", "tbody", "tfoot"):
-                        closes = _CLOSES[tag]
-                        continue
-                    break
-                if t in _FENCE:
-                    break
+        while closes and (k := opened.last(closes)) and k >= opened.last(_FENCE):
+            opened.cut(k)
+            if tag not in _MANY:
+                break
         node = Node(tag, stack[-1])
         nodes.append(node)
         i = len(nodes) - 1
         nodes[node.parent].children.append(i)
         nodes[node.parent].parts.append(i)
         if tag not in _VOID and not m[3].endswith("/"):
-            stack.append(i)
-    if at < len(html) and not in_head:
-        nodes[stack[-1]].parts.append(_SPACE.sub(" ", unescape(html[at:])))
+            opened.push(i, tag)
+    rest = html[at:].partition("<!--")[0]
+    if rest and not in_head:
+        nodes[stack[-1]].parts.append(_SPACE.sub(" ", unescape(rest)))
     return nodes
 
 
@@ -139,8 +164,11 @@ def score(nodes: list[Node]) -> float:
             nodes[x.parent].sum += x.density
     for i in range(len(nodes) - 1, -1, -1):
         x = nodes[i]
-        x.top = max([x.sum, *(nodes[k].top for k in x.children)])
-    main = next(i for i, x in enumerate(nodes) if x.sum == body.top)
+        x.top, x.best = x.sum, i
+        for k in x.children:
+            if nodes[k].top > x.top:
+                x.top, x.best = nodes[k].top, nodes[k].best
+    main = body.best
     threshold, i = body.density, main
     while i > 0:
         threshold, i = min(threshold, nodes[i].density), nodes[i].parent
@@ -150,9 +178,9 @@ def score(nodes: list[Node]) -> float:
         x = nodes[i]
         if x.density < threshold or x.content:
             continue
-        best = next(k for k in range(i, x.end) if nodes[k].sum == x.top)
-        if x.top > 0 or not body.children:
-            for k in range(best, nodes[best].end):
+        # marked ranges are whole subtrees: two of them are the same or apart, and none is gone over twice
+        if (x.top > 0 or not body.children) and not nodes[x.best].content:
+            for k in range(x.best, nodes[x.best].end):
                 nodes[k].content = True
         todo += x.children
     if not any(x.content for x in nodes):
