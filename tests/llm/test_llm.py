@@ -319,6 +319,47 @@ def test_pii(spark):
     assert sorted(net(x) for x in range(1000)) == list(range(1000)) and all(net(net(x), back=True) == x for x in range(50))
 
 
+@pytest.mark.parametrize(
+    "same",
+    [
+        ["1990-05-17", "17.05.1990", "05/17/1990", "17/05/1990"],
+        ["2001-03-04", "04.03.2001", "03/04/2001"],
+        ["+49 170 1234567", "+491701234567", "0049 170 1234567", "+49-170-123-4567"],
+        ["(212) 555-0123", "+1 212 555 0123", "212.555.0123"],
+        ["ann.lee@mail.example.com", "Ann.Lee@Mail.Example.COM", "ANN.LEE@mail.example.com"],
+        ["jörg.müßig@web.example.de", "Jörg.Müßig@web.example.de"],
+        ["4111111111111111", "4111 1111 1111 1111", "4111-1111-1111-1111"],
+        ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00"],
+    ],
+    ids=lambda s: s[0],
+)
+def test_pii_links_layouts(same):
+    names, back = pii.Pseudonyms(b"key"), pii.Pseudonyms(b"key", back=True)
+    new = [names.text(f"see {s} there")[0][4:-6] for s in same]
+    assert [back.text(f"see {n} there")[0][4:-6] for n in new] == same
+    assert all(n != s and len(n) == len(s) and [c.isalnum() for c in n] == [c.isalnum() for c in s] for n, s in zip(new, same))
+    if "@" in same[0]:
+        assert len({n.lower() for n in new}) == 1 and [[c.isupper() for c in n] for n in new] == [[c.isupper() for c in s] for s in same]
+    elif re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", same[0]):
+        y, m, d = new[0].split("-")
+        assert new[:3] == [new[0], f"{d}.{m}.{y}", f"{m}/{d}/{y}"] and new[3:] == [f"{d}/{m}/{y}"][: len(new) - 3]
+    else:
+        digits = [re.sub(r"^(00|[+])|[^0-9A-Z]", "", n) for n in new]
+        assert len({d if len(d) != 10 else "1" + d for d in digits}) == 1
+
+
+def test_pii_leaves_what_is_not_valid():
+    for s in ("Order 1234567890123", "4111 1111 1111 1112", "2024-02-31", "31/31/2024", "999.1.1.1", "DE00 3704 0044 0532 0130 00", "000-12-3456"):
+        assert pii.Pseudonyms(b"key").text(s) == (s, 0)
+
+
+def test_pii_dates_are_a_permutation():
+    names = pii.Pseudonyms(b"key")
+    days = [f"{y}-{m:02d}-{d:02d}" for y in (1999, 2024) for m in range(1, 13) for d in range(1, 29)]
+    new = [names.text(d)[0] for d in days]
+    assert len(set(new)) == len(days) and [pii.Pseudonyms(b"key", back=True).text(n)[0] for n in new] == days
+
+
 def test_html():
     nav = "".join(f'<li><a href="/{i}">link {i}</a>' for i in range(20))
     body = "".join(f"<p>{'Plain sentence of the article, number %d. ' % i * 6}</p>" for i in range(5))

@@ -5,10 +5,16 @@ values get equal pseudonyms in every document and the key's holder can turn them
 on [0, N) by cycle walking, and walks on until the value is valid again: card numbers keep their Luhn
 check, IBANs their mod-97 check, dates their calendar and layout, IPv4 addresses their range.
 
-kinds: card and other numbers of 13 to 19 digits (Luhn-valid ones stay valid, others stay invalid),
-IBAN, US social security numbers, phone numbers, IPv4, dates from 1900 to 2099 (2024-05-06, 06.05.2024,
-05/06/2024), e-mail addresses (letters stay letters, digits digits, the top-level domain stays), and
-hexadecimal secrets of 32 to 64 digits. Everything else in a text stays as it is.
+A value is brought to one form before the network and its layout is restored afterwards, so that it stays
+linked however it is written: dates are day numbers (days of the month up to 12 and over 12 are permuted
+among themselves, since 17/05/2024 is told from 05/06/2024 by that), phone numbers are country code and
+digits whatever stands between them (+49, 0049; the code stays; without one, three, three and four digits are taken
+for +1), addresses are in small letters, cards and IBANs without spaces.
+
+kinds: card numbers of 13 to 19 digits with a valid Luhn check, IBAN, US social security numbers, phone
+numbers, IPv4, dates from 1900 to 2099 (2024-05-06, 06.05.2024, 05/06/2024), e-mail addresses (letters
+stay letters, accented ones too, digits digits, the top-level domain stays), and hexadecimal secrets of 32
+to 64 digits. Everything else in a text stays as it is, numbers without a valid check among it.
 
 Defined results: a null text stays null and an empty one empty, each with n_replaced 0; repeated rows
 are treated alike; an empty table stays empty; all columns are kept, in order, and `n_replaced` is added,
@@ -40,7 +46,7 @@ PATTERN = re.compile(
   | (?P<date>(?<![0-9./\-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}|[0-9]{2}\.[0-9]{2}\.(?:19|20)[0-9]{2}|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})(?![0-9/\-]|\.[0-9]))
   | (?P<ip>(?<![0-9.])[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?![0-9]|\.[0-9]))
   | (?P<ssn>(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-]))
-  | (?P<phone>(?<![0-9A-Za-z])(?:(?:\+|00)[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z])\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,4}){3,5}(?![0-9]))
+  | (?P<phone>(?<![0-9A-Za-z])(?:(?:\+|00)[0-9]{1,3}[ .\-]?)?(?:\([0-9]{2,4}\)[ .\-]?|[0-9]{3}[ .\-])[0-9]{3}[ .\-][0-9]{4}(?![0-9])|(?<![0-9A-Za-z])(?:\+[0-9]{1,3}(?:[ .\-]?[0-9]{2,4}){3,5}|00[1-9][0-9]{0,2}[ .\-][0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){2,4})(?![0-9]))
   | (?P<number>(?<![0-9A-Za-z])[0-9](?:[ \-]?[0-9]){12,18}(?![0-9A-Za-z]))
     """,
     re.X,
@@ -101,6 +107,14 @@ def _fill(shape: str, symbols: str, at: str) -> str:
 
 
 _DIGITS = "0123456789"
+#: Characters of addresses by the class that they are permuted in, in small letters.
+_SETS = {c: s for s in ("abcdefghijklmnopqrstuvwxyz", _DIGITS, "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþ", "ßÿ") for c in s}
+#: Country codes of one and two digits; all others have three.
+_CODES = {"1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98"}
+
+
+def country_code(digits: str) -> str:
+    return next((digits[:n] for n in (1, 2) if digits[:n] in _CODES), digits[:3])
 
 
 class Pseudonyms:
@@ -129,8 +143,8 @@ class Pseudonyms:
                 date = datetime.date(y, b, a) if day_first else datetime.date(y, a, b)
         except ValueError:
             return s
-        over = sep == "/" and day_first  # such a layout is told by a day over 12
-        x = self.net(_DAYS, f"date:{sep}:{day_first}")((date - _DAY0).days, self.back, lambda v: not over or (_DAY0 + datetime.timedelta(v)).day > 12)
+        late = date.day > 12
+        x = self.net(_DAYS, "date")((date - _DAY0).days, self.back, lambda v: ((_DAY0 + datetime.timedelta(v)).day > 12) == late)
         date = _DAY0 + datetime.timedelta(x)
         return date.strftime("%Y-%m-%d" if sep == "-" else f"%d{sep}%m{sep}%Y" if day_first else f"%m{sep}%d{sep}%Y") if date.year >= 1000 else s
 
@@ -145,20 +159,34 @@ class Pseudonyms:
 
     def _email(self, s: str) -> str:
         head, _, top = s.rpartition(".")
-        # letters and digits of all but the top-level domain as one mixed-radix number; other letters stay in the tweak
-        sizes = [26 if "a" <= c.lower() <= "z" else 10 if c in _DIGITS else 1 for c in head]
+        # all but the top-level domain as one mixed-radix number in small letters; what is no letter or digit stays in the tweak
+        sets = [_SETS.get(c.lower(), c) for c in head]
         size, x = 1, 0
-        for c, r in zip(head, sizes):
-            x = x * r + (ord(c.lower()) - 97 if r == 26 else int(c) if r == 10 else 0)
-            size *= r
-        shape = "".join("A" if r == 26 and c.isupper() else "a" if r == 26 else "9" if r == 10 else c for c, r in zip(head, sizes))
-        x = self.net(size, "email:" + shape + "." + top)(x, self.back)
+        for c, symbols in zip(head, sets):
+            x = x * len(symbols) + (symbols.index(c.lower()) if len(symbols) > 1 else 0)
+            size *= len(symbols)
+        shape = "".join(symbols[0] for symbols in sets)
+        x = self.net(size, "email:" + shape + "." + top.lower())(x, self.back)
         out = []
-        for c, r in zip(reversed(head), reversed(sizes)):
-            x, d = divmod(x, r)
-            out.append(c if r == 1 else str(d) if r == 10 else chr((65 if c.isupper() else 97) + d))
+        for c, symbols in zip(reversed(head), reversed(sets)):
+            x, d = divmod(x, len(symbols))
+            new = symbols[d] if len(symbols) > 1 else c
+            out.append(new.upper() if c.isupper() else new)
         return "".join(reversed(out)) + "." + top
 
+    def _phone(self, s: str) -> str:
+        """The country code stays; the digits behind it are permuted."""
+        digits = "".join(c for c in s if c in _DIGITS)
+        if s[0] == "+" or s.startswith("00"):
+            skip = 0 if s[0] == "+" else 2
+            code = country_code(digits[skip:])
+            kept = skip + len(code)
+        else:
+            code, kept = "1" if len(digits) == 10 else "", 0
+        if kept >= len(digits):
+            return s
+        return _fill(s, digits[:kept] + self._digits(digits[kept:], "phone:" + code), _DIGITS)
+
     def _value(self, kind: str, s: str) -> str:
         if kind == "email":
             return self._email(s)
@@ -182,13 +210,10 @@ class Pseudonyms:
             ok = lambda d: d[:3] not in ("000", "666") and d[0] != "9" and d[3:5] != "00" and d[5:] != "0000"
             return self._digits(s, "ssn", ok) if ok(s.replace("-", "")) else s
         if kind == "phone":
-            country = re.match(r"(?:\+|00)[0-9]{1,3}(?=[ .\-(])", s)
-            at = country.end() if country else 1 if s[0] == "+" else 0
-            return s[:at] + self._digits(s[at:], "phone")
+            return self._phone(s)
         digits = re.sub("[^0-9]", "", s)
-        ok = luhn_ok(digits)
-        if not ok:
-            return self._digits(s, "number", lambda d: not luhn_ok(d))
+        if not luhn_ok(digits):
+            return s
         body = self._digits(digits[:-1], "card")
         return _fill(s, body + next(c for c in _DIGITS if luhn_ok(body + c)), _DIGITS)
 
