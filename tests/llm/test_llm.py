@@ -348,6 +348,15 @@ def test_pii_links_layouts(same):
         assert len({d if len(d) != 10 else "1" + d for d in digits}) == 1
 
 
+def test_pii_key_is_a_setting(spark):
+    assert queries.pii_key(spark) == queries.PII_KEY
+    spark.conf.set("spark.weftline.pii.key", "secret")
+    try:
+        assert queries.pii_key(spark) == b"secret"
+    finally:
+        spark.conf.unset("spark.weftline.pii.key")
+
+
 def test_pii_leaves_what_is_not_valid():
     for s in ("Order 1234567890123", "4111 1111 1111 1112", "2024-02-31", "31/31/2024", "999.1.1.1", "DE00 3704 0044 0532 0130 00", "000-12-3456"):
         assert pii.Pseudonyms(b"key").text(s) == (s, 0)

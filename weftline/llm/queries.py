@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import edit_fingerprint, fm_substring, host_rules, html_density, jaccard_join, mil_classifier, mixing, pii, sp_viterbi, suffix_family
 
-#: Production parameters.
+#: Production parameters. The key of the pseudonyms is the setting spark.weftline.pii.key; PII_KEY, for tests, is public.
 PII_KEY = b"weftline pseudonym key, rotate per release"
 MIX_WEIGHTS = {f"src{i}": float(1 + 2 * (i % 4)) for i in range(20)}
 MIX_EPOCHS = 2.0
@@ -22,8 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def pii_key(spark: SparkSession) -> bytes:
+    """The session's key, of at most 64 bytes, or the public one where none is set."""
+    key = spark.conf.get("spark.weftline.pii.key", None)
+    return key.encode() if key else PII_KEY
+
+
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), pii_key(spark))
 
 
 def op2_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
