@@ -262,6 +262,28 @@ def test_every_part_of_a_text_counts(n):
     assert changed.min() >= 12, changed
 
 
+def test_texts_with_the_same_head_only_make_no_group(spark):
+    """Else most texts of a large corpus with a common head or notice are one group, whose work grows with its square."""
+    r = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyz "
+    head = "".join(r.choice(letters) for _ in range(90))
+    texts = [head + "".join(r.choice(letters) for _ in range(310)) for _ in range(120)]
+    texts += [edited(r, texts[0], 8)]
+    df = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    forest = edit_fingerprint._forest(edit_fingerprint._bands(df, 12, None, 0.05, 4), None, 0.05, 4).collect()
+    assert {tuple(sorted(x)) for x in forest} == {(0, 120)}
+
+
+def test_bag_distance():
+    """Never more than the edit distance, for capped counts too."""
+    r = random.Random(12)
+    for n in (0, 5, 200, 3000):
+        a = "".join(r.choice("ab é") for _ in range(n))
+        for e in (0, 1, 7, 40):
+            x, y = (edit_fingerprint.bags(*edit_fingerprint.fold(*strings(pa.array([t])))) for t in (a, edited(r, a, e) if n else "b" * e))
+            assert edit_fingerprint.bag_distance(x, y)[0] <= e
+
+
 def test_band_distances():
     r = random.Random(29)
     texts = []

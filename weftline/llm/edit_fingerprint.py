@@ -8,7 +8,7 @@ edit moves only the anchors and walks that touch it, wherever it is and however
 class has the next one as well); the fingerprint of a document is its BINS bands, of which a byte each travels with every band.
 
 Texts of PLAIN characters or more are candidates if they agree in AGREE bands, shorter ones in one, and if the lengths
-of what is before and behind the anchors allow it. Candidate pairs are never sent: a task reports a forest of those of its bands, and the texts of
+of what is before and behind the anchors and the counts of their characters, which no edit changes by more than one each, allow it. Candidate pairs are never sent: a task reports a forest of those of its bands, and the texts of
 a connected group meet (by classes of length and in blocks, if there are more than BLOCK_BYTES of them), where every pair of the group with so many bands in
 common is decided exactly: its edit distance is at most floor(rate * length of the longer text), in characters, or not; most_edits,
 if it is given, caps the limit. In large groups distances to a few texts decide most pairs by the triangle
@@ -60,6 +60,8 @@ BLOCK_BYTES = 2 << 20
 SIDE_BYTES = 1 << 20
 #: Bands that texts of PLAIN characters or more have to agree in.
 AGREE = 3
+#: Classes of characters that are counted, up to 255 each.
+BAG = 32
 
 
 @lru_cache(4)
@@ -154,12 +156,26 @@ def agreeing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return ((x == y) & (x != 0)).sum(axis=1)
 
 
-_BLOCK = "part int, signatures binary, nodes binary, lengths binary, places binary, prints binary"
-_NAMES = ["part", "signatures", "nodes", "lengths", "places", "prints"]
+def bags(chars: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How often each text has the characters of each class, 255 at most."""
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    n = np.bincount(text * BAG + chars % BAG, minlength=(len(offsets) - 1) * BAG)
+    return np.minimum(n, 255).astype(np.uint8).reshape(-1, BAG)
+
+
+def bag_distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """No more than the edit distance: an edit takes one character away, brings one, or both."""
+    more = x.astype(np.int32) - y
+    total, net = np.abs(more).sum(axis=1, dtype=np.int64), more.sum(axis=1, dtype=np.int64)
+    return (total + np.abs(net)) // 2
+
+
+_BLOCK = "part int, signatures binary, nodes binary, lengths binary, places binary, prints binary, bags binary"
+_NAMES = ["part", "signatures", "nodes", "lengths", "places", "prints", "bags"]
 
 
 def _bands(docs: DataFrame, samples: int, most_edits: int | None, rate: float, parts: int) -> DataFrame:
-    """The bands of docs (node, text) in blocks by part of the signature: (signature, node, length, place, fingerprint)."""
+    """The bands of docs (node, text) in blocks by part of the signature: (signature, node, length, place, fingerprint, counts of characters)."""
     ratio = np.log(max(CLASS_RATIO, 1.2 / (1 - rate)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,7 +193,7 @@ def _bands(docs: DataFrame, samples: int, most_edits: int | None, rate: float, p
             with np.errstate(over="ignore"):
                 sig = mix(sig[each] + take_ranges(low, high - low + 1).astype(U64))
             own, place = own[each], place[each]
-            held.append((sig, nodes[first][own], n[own].astype(np.int32), place.astype(np.int32), prints[own, 0]))
+            held.append((sig, nodes[first][own], n[own].astype(np.int32), place.astype(np.int32), prints[own, 0], bags(c, at)[own]))
             size += len(b)
             if size > HELD_BYTES:
                 yield from blocks(held)
@@ -209,15 +225,15 @@ def _forest(bands: DataFrame, most_edits: int | None, rate: float, parts: int) -
     """(a, b) that connect all nodes which are candidates by their bands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: list[list[np.ndarray]] = [[], [], [], [], []]
+        got: list[list[np.ndarray]] = [[], [], [], [], [], []]
         for rb in batches:
             for i in range(rb.num_rows):
-                for g, k, kind in zip(got, (1, 2, 3, 4, 5), (U64, np.int64, np.int32, np.int32, np.uint8)):
+                for g, k, kind in zip(got, (1, 2, 3, 4, 5, 6), (U64, np.int64, np.int32, np.int32, np.uint8, np.uint8)):
                     g.append(np.frombuffer(rb.column(k)[i].as_buffer(), kind))
         if not got[0]:
             return
-        sig, node, length, place, prints = (np.concatenate(g) for g in got)
-        prints = prints.reshape(-1, BINS)
+        sig, node, length, place, prints, bag = (np.concatenate(g) for g in got)
+        prints, bag = prints.reshape(-1, BINS), bag.reshape(-1, BAG)
         order = np.lexsort((node, length, sig))
         new = np.ones(len(sig), bool)
         new[1:] = (sig[order][1:] != sig[order][:-1]) | (node[order][1:] != node[order][:-1])
@@ -227,7 +243,7 @@ def _forest(bands: DataFrame, most_edits: int | None, rate: float, parts: int) -
         order = order[same | np.append(False, same[:-1])]
         if not len(order):
             return
-        sig, node, length, place, prints = sig[order], node[order], length[order].astype(np.int64), place[order].astype(np.int64), prints[order]
+        sig, node, length, place, prints, bag = sig[order], node[order], length[order].astype(np.int64), place[order].astype(np.int64), prints[order], bag[order]
         first = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
         count = np.diff(np.append(first, len(sig)))
         group = np.repeat(np.arange(len(first)), count)
@@ -238,7 +254,9 @@ def _forest(bands: DataFrame, most_edits: int | None, rate: float, parts: int) -
             before, longer = place[j] - place[i], length[j] - length[i]
             ok = np.flatnonzero(np.abs(before) + np.abs(longer - before) <= limit)
             few = (length[i[ok]] >= PLAIN) & (length[j[ok]] >= PLAIN)
-            return ok[~few | (agreeing(prints[i[ok]], prints[j[ok]]) >= AGREE)]
+            ok = ok[~few | (agreeing(prints[i[ok]], prints[j[ok]]) >= AGREE)]
+            # texts with the same head only, which many have, would make one group of most of a large corpus
+            return ok[bag_distance(bag[i[ok]], bag[j[ok]]) <= limit[ok]]
 
         # of a crowded band's texts, most are near its middle one: these need no look at each other
         rows = np.arange(len(sig))
@@ -375,6 +393,8 @@ def far_distance(a: np.ndarray, b: np.ndarray, limit: int) -> int:
 
 #: Pairs from which on columns of all of them are worked out side by side, and memory for the places of the characters of their texts.
 SIDE_BY_SIDE, PLACES_BYTES = 64, 32 << 20
+#: Words of the columns of so many pairs together, about; with fewer, the calls take longer than the work.
+SIDE_WORDS = 24 << 10
 COLUMNS = 64
 
 
@@ -384,84 +404,98 @@ def band_distances(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits
     own = [texts[u] for u in used]
     size = np.array([len(t) for t in own], np.int64)
     names, codes = np.unique(np.concatenate(own), return_inverse=True)
+    x, y = index[: len(i)], index[len(i) :]
+    swap = size[x] < size[y]
+    x, y = np.where(swap, y, x), np.where(swap, x, y)
+    m, n, limit = size[x], size[y], limits.copy()
     # a path over a diagonal has at least as many edits as it is away from that of the start and that of the end
-    reach = (int(((limits + np.abs(size[index[: len(i)]] - size[index[len(i) :]])) // 2).max()) + 63) // 64
+    above, under = int(((limits - m + n) // 2).max()), int(((limits + m - n) // 2).max())
+    w = (COLUMNS + above + under + 63) // 64
     # words of the places: some zeros before the text and behind it
-    words = int(size.max() + 63) // 64 + 2 * reach + 3
+    words = (int(size.max()) + COLUMNS + above) // 64 + w + 1
     wide = len(names) + 1
     if len(own) * wide * words * 8 > PLACES_BYTES:
         return None
     places = np.zeros((len(own) * wide, words * 8), np.uint8)
     begin = np.cumsum(size) - size
     text, at = np.repeat(np.arange(len(own)), size), np.arange(len(codes)) - np.repeat(begin, size)
-    np.bitwise_or.at(places, (text * wide + codes, at // 8 + 8 * reach), (1 << (at % 8)).astype(np.uint8))
+    np.bitwise_or.at(places, (text * wide + codes, (at + above) // 8), (1 << ((at + above) % 8)).astype(np.uint8))
     places = places.view(U64).ravel()
     padded = np.full((len(own), int(size.max()) + COLUMNS), wide - 1, np.int32)
     padded[text, at] = codes
-    x, y = index[: len(i)], index[len(i) :]
-    m, n, limit = size[x], size[y], limits.copy()
     out = limits + 1
     live = np.arange(len(i))
-    w = 2 * reach + 1
-    # row 0 of the window is row 64 * (k / 64 - reach) of the table; rows before the first count as nothing
-    up = np.full((w, len(live)), ~U64(0))
-    up[:reach] = 0
-    down = np.zeros((w, len(live)), U64)
-    score = np.full(len(live), 64 * (reach + 1), np.int64)
     one, shift = U64(1), U64(63)
     offset = np.arange(w)[:, None]
 
-    def below(bits: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Set bits from a row of the window on."""
-        keep = np.clip(64 * (offset + 1) - row, 0, 64)
-        mask = np.where(keep == 64, ~U64(0), ~((one << (U64(64) - keep.astype(U64)) % U64(64)) - one))
-        mask[keep == 0] = 0
-        return np.bitwise_count(bits & mask).sum(axis=0, dtype=np.int64)
+    def down_to(row: np.ndarray, some: np.ndarray | slice = slice(None)) -> np.ndarray:
+        """By how much the distances grow from the window's first row to these."""
+        keep = np.clip(row - 64 * offset, 0, 64)
+        mask = np.where(keep == 64, ~U64(0), (one << keep.astype(U64) % U64(64)) - one)
+        return np.bitwise_count(up[:, some] & mask).sum(axis=0, dtype=np.int64) - np.bitwise_count(down[:, some] & mask).sum(axis=0, dtype=np.int64)
 
+    # row 0 of the window is row k - above of the table; rows before the first count as nothing
+    keep = np.clip(64 * (np.arange(w) + 1) - above, 0, 64).tolist()
+    up = np.repeat(np.array([(1 << 64) - (1 << 64 - q) if q else 0 for q in keep], U64)[:, None], len(live), axis=1)
+    down = np.zeros((w, len(live)), U64)
+    # distance at the window's first row, which grows by one with every column
+    score = np.zeros(len(live), np.int64)
     for k in range(0, int(n[live].max()) if len(live) else 0, COLUMNS):
-        first = (x[live] * wide) * words + k // 64
-        text_of, end = y[live], n[live]
+        # word of every column's places, and arrays that all columns use again
+        first = np.ascontiguousarray((padded[y[live], k : k + COLUMNS].astype(np.int64) * words + ((x[live] * wide) * words + k // 64)[:, None]).T)
+        end = n[live]
         ends = {}
         for p in np.flatnonzero(end <= k + COLUMNS):
             ends.setdefault(int(end[p]), []).append(p)
         if k in ends:  # texts of no characters
             out[live[ends[k]]] = m[live[ends[k]]]
-        for c in range(k, k + COLUMNS):
-            eq = places[(first + padded[text_of, c].astype(np.int64) * words) + offset]
-            v = eq | down
-            t = eq & up
-            total = t + up
-            over = total < t
-            for q in range(1, w):
-                more = total[q] + over[q - 1]
-                over[q] |= more < total[q]
-                total[q] = more
-            h = (total ^ up) | eq
-            right, left = down | ~(h | up), up & h
-            score += (right[-1] >> shift).astype(np.int64) - (left[-1] >> shift).astype(np.int64)
-            carry_r, carry_l = right[:-1] >> shift, left[:-1] >> shift
-            right <<= one
-            left <<= one
-            right[1:] |= carry_r
-            left[1:] |= carry_l
-            right[0] |= one
-            up = left | ~(v | right)
-            down = right & v
-            if c + 1 in ends:
-                p = np.array(ends[c + 1])
-                row = m[live[p]] - 64 * (k // 64 - reach)
-                out[live[p]] = score[p] - below(up[:, p], row) + below(down[:, p], row)
-        # the distance of the first characters of both can't fall by more than the difference of the lengths
-        row = np.full(len(live), 64 * reach + COLUMNS)
-        so_far = score - below(up, row) + below(down, row)
-        stay = (end > k + COLUMNS) & ((m[live] < k + COLUMNS) | (so_far - np.abs(m - n)[live] <= limit[live]))
+        eq, v, h, t = (np.empty((w, len(live)), U64) for _ in range(4))
+        both, carry = np.empty((2, w, len(live)), U64), np.empty((2, w - 1, len(live)), U64)
+        right, left = both
+        over, ones, at = np.empty((w, len(live)), bool), np.empty((w - 1, len(live)), bool), np.empty((w, len(live)), np.int64)
+        for c in range(COLUMNS):
+            np.add(first[c], offset, out=at)
+            places.take(at, out=eq, mode="clip")
+            np.bitwise_or(eq, down, out=v)
+            np.bitwise_and(eq, up, out=t)
+            np.add(t, up, out=h)
+            np.less(h, t, out=over)
+            np.add(h[1:], over[:-1], out=h[1:])
+            # a word of ones passes on what is carried
+            np.equal(h[1:], 0, out=ones)
+            np.logical_and(ones, over[:-1], out=ones)
+            if w > 2 and ones[:-1].any():
+                for q in range(2, w):
+                    if ones[q - 2].any():
+                        h[q] += ones[q - 2]
+                        ones[q - 1] |= ones[q - 2] & (h[q] == 0)
+            np.bitwise_xor(h, up, out=h)
+            np.bitwise_or(h, eq, out=h)
+            np.bitwise_or(h, up, out=right)
+            np.invert(right, out=right)
+            np.bitwise_or(right, down, out=right)
+            np.bitwise_and(up, h, out=left)
+            np.right_shift(both[:, :-1], shift, out=carry)
+            np.left_shift(both, one, out=both)
+            np.bitwise_or(both[:, 1:], carry, out=both[:, 1:])
+            np.bitwise_or(right[0], one, out=right[0])
+            np.bitwise_or(v, right, out=up)
+            np.invert(up, out=up)
+            np.bitwise_or(up, left, out=up)
+            np.bitwise_and(right, v, out=down)
+            if k + c + 1 in ends:
+                p = np.array(ends[k + c + 1])
+                out[live[p]] = score[p] + c + 1 + down_to(m[live[p]] - k + above, p)
+        # distances don't fall along the diagonal of the end
+        so_far = score + COLUMNS + down_to((m - n)[live] + above + COLUMNS)
+        score = score + COLUMNS + down_to(np.full(len(live), 64))
+        stay = (end > k + COLUMNS) & (so_far <= limit[live])
         live, up, down, score = live[stay], up[:, stay], down[:, stay], score[stay]
         if not len(live):
             break
-        # the window moves on by a word; its new rows count as one more each
+        # the window moves on by a word; its new rows count as one more each than the one before
         up = np.concatenate([up[1:], np.full((1, len(live)), ~U64(0))])
         down = np.concatenate([down[1:], np.zeros((1, len(live)), U64)])
-        score = score + 64
     return np.minimum(out, limits + 1)
 
 
@@ -469,20 +503,26 @@ def within(texts: list[np.ndarray], i: np.ndarray, j: np.ndarray, limits: np.nda
     """Edit distances of texts[i] and texts[j], as code points; limit + 1 where they are above it."""
     size = np.array([len(t) for t in texts], np.int64)
     near = np.minimum(limits, NEAR_EDITS)
-    got = np.zeros(len(i), np.int64)
-    at = 0
-    while at < len(i):
+    got = limits + 1
+    counts = np.zeros((len(texts), BAG), np.int32)
+    for u in np.unique(np.concatenate([i, j])):
+        counts[u] = np.bincount(texts[u] % BAG, minlength=BAG)
+    least = np.concatenate([np.zeros(0, np.int64), *(bag_distance(counts[i[k : k + 32768]], counts[j[k : k + 32768]]) for k in range(0, len(i), 32768))])
+    few, at = np.flatnonzero(least <= near), 0
+    while at < len(few):
         # some 4096 pairs, of 1 M characters or one pair
-        to = at + max(1, int(np.searchsorted(np.cumsum(size[i[at : at + 4096]] + size[j[at : at + 4096]]), 1 << 20, "right")))
-        used, index = np.unique(np.concatenate([i[at:to], j[at:to]]), return_inverse=True)
+        some = few[at : at + 4096]
+        some = some[: max(1, int(np.searchsorted(np.cumsum(size[i[some]] + size[j[some]]), 1 << 20, "right")))]
+        used, index = np.unique(np.concatenate([i[some], j[some]]), return_inverse=True)
         h = len(index) // 2
-        got[at:to] = bounded_distances([texts[u] for u in used], index[:h], index[h:], near[at:to])
-        at = to
+        got[some] = bounded_distances([texts[u] for u in used], index[:h], index[h:], near[some])
+        at += len(some)
     got[got > near] = limits[got > near] + 1
-    far = np.flatnonzero((got > limits) & (near < limits) & (np.abs(size[i] - size[j]) <= limits))
-    far = far[np.lexsort((i[far], limits[far]))]
+    far = np.flatnonzero((got > limits) & (near < limits) & (least <= limits))
+    # pairs that are next to each other have about the same band
+    far = far[np.lexsort((i[far], np.abs(size[i] - size[j])[far] // 8, limits[far] // 8))]
     while len(far):
-        some = far[: min(2048, int(np.searchsorted(limits[far], 1.25 * limits[far[0]] + 16, "right")))]
+        some = far[: min(max(256, SIDE_WORDS // (int(limits[far[0]]) // 64 + 2)), int(np.searchsorted(limits[far] // 8, (1.25 * limits[far[0]] + 16) // 8, "right")))]
         d = None
         while len(some) >= SIDE_BY_SIDE and (d := band_distances(texts, i[some], j[some], limits[some])) is None:
             some = some[: len(some) // 2]
