@@ -86,6 +86,23 @@ def test_links(spark):
     assert [r.url for r in stats.without_links(pages, edges).collect()] == ["https://x.de/2"]
 
 
+def repeated(spark, path):
+    """pages where a URL has three rows, of which two differ; the catalog's SQL over them."""
+    rows = [(0, "https://x.de/", '<a href="/a">1</a><a href="/b">2</a>'), (1, "https://x.de/", '<a href="/b">1</a><a href="/c">2</a>'), (2, "https://x.de/", '<a href="/b">1</a><a href="/c">2</a>'), (3, "https://x.de/2", '<a href="/a">1</a>'), (4, "https://x.de/3", None)]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{path}/pages.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view pages as select * from '{path}/pages.parquet/*.parquet'")
+    return lambda name: sorted(con.sql(catalog.ORACLES[name]).fetchall())
+
+
+def test_link_edges_of_repeated_urls(spark, tmp_path):
+    sql = repeated(spark, tmp_path)
+    got = catalog.link_edges(spark, str(tmp_path))
+    assert sorted(map(tuple, got.collect())) == sql("link_edges") == [("https://x.de/", 3, 3, 0), ("https://x.de/2", 1, 1, 0)]
+    edges = links.link_edges(spark.read.parquet(f"{tmp_path}/pages.parquet")).where("src = 'https://x.de/'")
+    assert {(r.dst[-1], r.pos) for r in edges.collect()} == {("a", 0), ("b", 0), ("c", 1)}
+
+
 def incoming(spark, *rows):
     return spark.createDataFrame([(u, u, "s", "html", t, None, t, "de", t) for u, t in rows], "url string, final_url string, site string, source_type string, content_sha256 string, title string, text string, lang string, text_sha256 string")
 

@@ -75,9 +75,10 @@ def discover_links(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[p
 
 
 def link_edges(pages: DataFrame, html: str = "html", url: str = "url", domain: Column | None = None) -> DataFrame:
-    """(src, dst, pos, in_domain, trap) of every link of every page. domain: the page's own host if None."""
+    """(src, dst, pos, in_domain, trap), once for each src and dst, however many rows a URL has; pos is the first place on any of them. domain: the page's own host if None."""
     d = urls.host(F.col("src")) if domain is None else domain
     edges = pages.select(F.col(url).alias("src"), F.posexplode(discover_links(F.col(html), F.col(url))).alias("pos", "dst"))
+    edges = edges.groupBy("src", "dst").agg(F.min("pos").alias("pos"))
     return edges.select("src", "dst", "pos", urls.in_domain(F.col("dst"), d).alias("in_domain"), urls.is_trap(F.col("dst")).alias("trap"))
 
 
