@@ -103,6 +103,11 @@ def test_link_edges_of_repeated_urls(spark, tmp_path):
     assert {(r.dst[-1], r.pos) for r in edges.collect()} == {("a", 0), ("b", 0), ("c", 1)}
 
 
+def test_link_totals_of_repeated_urls(spark, tmp_path):
+    sql = repeated(spark, tmp_path)
+    assert sorted(map(tuple, catalog.link_totals(spark, str(tmp_path)).collect())) == sql("link_totals") == [(4, 4, 0, 2)]
+
+
 def incoming(spark, *rows):
     return spark.createDataFrame([(u, u, "s", "html", t, None, t, "de", t) for u, t in rows], "url string, final_url string, site string, source_type string, content_sha256 string, title string, text string, lang string, text_sha256 string")
 
